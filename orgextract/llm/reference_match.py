@@ -18,12 +18,12 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from orgextract.llm.editmetric import BKTree
 
@@ -73,7 +73,7 @@ _SEPARATORS = re.compile(r"\s+[-–—]+\s+|[|;()\[\]•·]|,|\s/\s|\s@\s")
 
 def plain(text: str) -> str:
     text = unicodedata.normalize("NFC", text).lower()
-    text = re.sub("[​﻿]", "", text).replace("&", " and ")
+    text = re.sub("[\u200B\uFEFF]", "", text).replace("&", " and ")
     return " ".join(re.findall(r"[^\W_]+", text))
 
 
@@ -151,3 +151,74 @@ class Matcher:
             return hit
         w = [x for x in words(raw) if x not in PLACES]
         return self.nearest(" ".join(w)) if len(w) < len(words(raw)) else None
+
+
+#: Values a worker remembers; beyond that it starts over.
+CACHED_VALUES = 200_000
+
+
+def map_to_reference(df: DataFrame, id_col: str, value: str, matcher: Matcher) -> DataFrame:
+    """id, ref_id: the entry each non-blank value means, or -1. One tree per worker, no shuffle."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, int] = {}
+        for s in batches:
+            codes, uniques = pd.factorize(s)
+            if len(known) > CACHED_VALUES:
+                known.clear()
+            for u in uniques:
+                if u not in known:
+                    hit = matcher.find(u)
+                    known[u] = hit[1] if hit else -1
+            yield pd.Series([known[u] for u in uniques], dtype="int32").take(codes).reset_index(drop=True)
+
+    mapped = F.pandas_udf(run, IntegerType())
+    filled = df.filter(F.col(value).rlike(r"(?U)[^\s\u200B\uFEFF]"))
+    return filled.select(id_col, mapped(F.col(value)).alias("ref_id"))
+
+
+def map_to_sharded_reference(
+    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str], shards: int
+) -> DataFrame:
+    """The same for a reference list too long for one worker: (role_ref_id, canonical, short) is cut
+    into shards; each distinct value is asked of every shard's tree in its own task group, and the
+    shard winners merge by (distance, entry). `id_col` rows meet the answers by value digest."""
+    values = df.filter(F.col(value).rlike(r"(?U)[^\s\u200B\uFEFF]")).select(id_col, F.col(value).alias("_v"))
+    distinct = values.select("_v").distinct()
+    blocks = 4 * shards
+    asked = distinct.withColumn("_block", F.pmod(F.xxhash64("_v"), F.lit(blocks)).cast("int")).withColumn(
+        "_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    )
+    trees = reference.withColumn("_shard", F.pmod(F.xxhash64("role_ref_id"), F.lit(shards)).cast("int")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    )
+
+    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        entries = [(int(i), c, s) for i, c, s in zip(right.role_ref_id, right.canonical, right.short)]
+        m = Matcher(entries, synonyms)
+        hits = [(v, *hit) for v in left._v if (hit := m.find(v))]
+        return pd.DataFrame(hits, columns=["_v", "_d", "_ref"])
+
+    winners = (
+        asked.groupBy("_shard", "_block")
+        .cogroup(trees.groupBy("_shard", "_block"))
+        .applyInPandas(answer, "_v string, _d int, _ref int")
+        .groupBy("_v")
+        .agg(F.min(F.struct("_d", "_ref"))["_ref"].alias("_ref"))
+    )
+    return values.join(winners, "_v", "left").select(id_col, F.coalesce("_ref", F.lit(-1)).alias("ref_id"))
+
+
+#: A reference list up to this many entries travels whole to each worker.
+BROADCAST_ENTRIES = 20_000
+
+
+def match_reference(
+    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str] = SYNONYMS
+) -> DataFrame:
+    """reference: (role_ref_id, canonical, short). Chooses the plan by the list's counted size."""
+    head = reference.limit(BROADCAST_ENTRIES + 1).collect()
+    if len(head) > BROADCAST_ENTRIES:
+        shards = -(-reference.count() // BROADCAST_ENTRIES)
+        return map_to_sharded_reference(df, id_col, value, reference, synonyms, shards)
+    return map_to_reference(df, id_col, value, Matcher([(int(r[0]), r[1], r[2]) for r in head], synonyms))
