@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgextract.llm import ledger, reference_match, survivors
+from orgextract.llm import ledger, reference_match, sentences, survivors
 from orgextract.session import stored, table
 
 
@@ -105,7 +105,11 @@ def _position(cells: str):
     return F.coalesce(by_fragment, longer, latest, last(F.filter(loose, lambda x: fragment.isNotNull() & part_of(fragment, x["value"]))), last(loose), fragment, last(c))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p10_found": p10_found}
 
 ORACLES = {
     "p2_found": r"""
