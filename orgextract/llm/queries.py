@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgextract.llm import ledger, reference_match, sentences, survivors
+from orgextract.llm import leaks, ledger, reference_match, sentences, survivors
 from orgextract.session import stored, table
 
 
@@ -109,7 +109,12 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p10_found": p10_found}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")
+    return leaks.find_leaks(docs, "doc_id", items, "item_id").select("doc_id", "item_id")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p9_found": p9_found, "p10_found": p10_found}
 
 ORACLES = {
     "p2_found": r"""
@@ -117,4 +122,17 @@ WITH k AS (
   SELECT entry_id, list_sort([regexp_replace(lower(nfc_normalize(coalesce(v, ''))), '[^\p{L}\p{N}]+', '', 'g') for v in [email, role, name]]) AS k
   FROM leadership_entries)
 SELECT f AS first_entry_id, entry_id FROM (SELECT entry_id, min(entry_id) OVER (PARTITION BY k) AS f FROM k) WHERE entry_id > f""",
+    "p9_found": r"""
+WITH words AS (
+  SELECT kind, id, [w FOR w IN string_split(regexp_replace(regexp_replace(lower(
+      regexp_replace(regexp_replace(coalesce(text, ''),
+        '(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:nbsp|gt|lt|#160);', ' ', 'g'),
+        '(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});', '', 'g')),
+      '[^\p{L}\p{M}\p{N}\s\x{2013}\x{2014}/\x{00A0}]+', '', 'g'), '[\s\x{2013}\x{2014}/\x{00A0}]+', ' ', 'g'), ' ') IF w <> ''] AS w
+  FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items)),
+spans AS (SELECT kind, id, w[p : p + 11] AS s FROM (SELECT kind, id, w, unnest(range(1, len(w) - 10)) AS p FROM words WHERE len(w) >= 12)),
+keys AS (SELECT DISTINCT kind, id, j, array_to_string(list_concat(s[1 : j - 1], ['*'], s[j + 1 : 12]), ' ') AS k
+         FROM spans, (SELECT unnest(range(1, 13)) AS j))
+SELECT DISTINCT d.id AS doc_id, i.id AS item_id
+FROM (SELECT * FROM keys WHERE kind = 'd') d JOIN (SELECT * FROM keys WHERE kind = 'i') i USING (j, k)""",
 }

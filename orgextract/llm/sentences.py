@@ -41,7 +41,7 @@ _SIGNATURE = (
 
 # Abbreviations that never end a sentence, those that end one before a capital, and months.
 _ALWAYS = (
-    "dr|dra|prof|mr|mrs|ms|mme|mlle|sr|sra|srta|approx|aprox|env|vs|et al|pp|pág|págs|bzw|ca|nr|ggf|inkl|evtl|vgl|cf"
+    "dr|dra|prof|mr|mrs|ms|mme|mlle|sr|sra|srta|approx|aprox|env|vs|al|pp|pág|págs|bzw|ca|nr|ggf|inkl|evtl|vgl|cf"
     "|ee|uu|стр|рис|руб|коп|см|гг|им|ул|тыс|млн|रु|डॉ|श्री"
 )
 _CASED = "St|Ste|Ave|Blvd|Rd|Jan|Feb|Mar|Apr|Aug|Sept|Sep|Oct|Nov|Dec|Mon|Tue|Tues|Wed|Thu|Thur|Thurs|Fri|Sat|Sun|Gen|Col|Lt|Sgt|Capt|Gov|Sen|Rep|Rev|Hon|Mt|Ft|Str|Fig|Vol"
@@ -95,7 +95,7 @@ def masked(df: DataFrame) -> DataFrame:
     t = rep(t, r"(?<=\d)[.](?=\d)", DOT)
     t = rep(t, rf"(?<=(?:^|[\n{CUT}{HARD}])[>\s{SOFT}]{{0,8}}\d{{1,3}})\.(?=\s)", DOT)
     t = rep(t, rf"(?<=\d)\.(?={_W}+(?i:{_MONTHS})\b)", DOT)
-    t = rep(t, rf"(?iu)(?<![\p{{L}}\p{{M}}\p{{N}}])([ap])\.m\.(?={_W}*[,:;)]|{_W}+(?-i:{_GOING_ON}|{_GOING_ON.upper()})\b)", f"$1{DOT}m{DOT}")
+    t = rep(t, rf"(?iu)(?<![\p{{L}}\p{{M}}\p{{N}}])([ap])\.m\.(?={_W}*[,:;)]|[^\n{CUT}{HARD}]{{0,80}}[:：][ \t]*(?:[\n{CUT}{HARD}]|$)|{_W}+(?-i:{_GOING_ON}|{_GOING_ON.upper()})\b)", f"$1{DOT}m{DOT}")
     t = rep(t, r"(?iu)(?<![\p{L}\p{M}\p{N}])([ap])\.(m)\.", f"$1{DOT}$2{_KEPT}")
     t = rep(t, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(\p{{L}})\.(?=\s|\p{{L}}\.|{_W}|[,;:])", f"$1{DOT}")
     t = rep(t, rf"(?<=[{DOT}]\p{{L}})\.(?=\s|\p{{L}}|[,;:])", DOT)
@@ -105,9 +105,9 @@ def masked(df: DataFrame) -> DataFrame:
     t = rep(t, rf"(?i)(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_DIGIT}))\.(?={_W}*\d)", DOT)
     t = rep(t, rf"(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_SMALL}|{_BEFORE_SMALL.upper()}|{_BEFORE_SMALL.lower()}))\.(?={_W}+[^\s\p{{Lu}}]|[,;:])", DOT)
     # speech inside a sentence doesn't end it
-    t = rep(t, rf"[!?؟](?=[!?]*\s?{_CLOSE}+,?{_W}+[—–-]?\s?\p{{Ll}})", DOT)
-    t = rep(t, rf"[!?؟](?={_CLOSE}*{_W}+[—–]\s?\p{{Ll}})", DOT)
-    t = rep(t, rf"\.(?={_CLOSE}+{_W}+[—–]\s?\p{{Ll}})", DOT)
+    t = rep(t, rf"[!?؟](?=[!?]*\s?{_CLOSE}+,?{_W}+[—–-]?{_W}*\p{{Ll}})", DOT)
+    t = rep(t, rf"[!?؟](?={_CLOSE}*{_W}+[—–]{_W}*\p{{Ll}})", DOT)
+    t = rep(t, rf"\.(?={_CLOSE}+{_W}+[—–]{_W}*\p{{Ll}})", DOT)
     t = rep(t, rf"\.\.\.(?={_W}+\p{{Ll}})", DOT * 3)
     t = rep(t, r"[。！？](?=[”」』\"](?:と|って|[他她它我你您]们?(?:说|說|问|問|道|答|喊|叫)))", DOT)
     return df.withColumn("_t", t)
