@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgextract.llm import leaks, ledger, reference_match, sentences, survivors
+from orgextract.llm import history, leaks, ledger, reference_match, sentences, survivors
 from orgextract.session import stored, table
 
 
@@ -30,6 +30,29 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reference_matcher(spark: SparkSession, sf_dir: str) -> reference_match.Matcher:
+    """role_reference is a fixed list; it is collected behind a check of its size."""
+    ref = table(spark, sf_dir, "role_reference").select("role_ref_id", "canonical_role", "short_form")
+    rows = ref.limit(reference_match.BROADCAST_ENTRIES + 1).collect()
+    if len(rows) > reference_match.BROADCAST_ENTRIES:
+        raise ValueError("the list of positions is too long to travel with the headline parser")
+    return reference_match.Matcher([(r[0], r[1], r[2]) for r in rows], reference_match.SYNONYMS)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs but the last of each feed's numbering are history, the last run arrives as a batch."""
+    runs = table(spark, sf_dir, "feed_runs").filter("feed_kind = 'incremental'").select("feed_id").distinct()
+    rss = table(spark, sf_dir, "leadership_changes_rss").join(F.broadcast(runs), "feed_id")  # one row per feed
+    rows = rss.select(F.col("change_id").alias("id"), "run_no", history.page_key(F.col("Link")).alias("page"), F.col("Title").alias("title"))
+    parsed = history.read_headlines(rows.drop("run_no"), reference_matcher(spark, sf_dir))
+    last = rss.agg(F.max("run_no")).first()[0]
+    early = rss.filter(F.col("run_no") < F.lit(last)).agg(F.max("change_id")).first()[0] or 0
+    parsed = stored(parsed, "headlines")
+    store = history.accept(None, parsed.filter(F.col("id") <= early))
+    store = history.accept(store, parsed.filter(F.col("id") > early))
+    return history.repeats(parsed, store).select(F.col("first_id").alias("first_change_id"), F.col("id").alias("change_id"))
+
+
 # Extractors whose hits are read off loose context, and words that are no name.
 LOOSE_EXTRACTORS = ["onclick", "html-context", "network", "pdf-ocr-context"]
 NO_NAMES = ["email", "e-mail", "mail", "st", "street", "hours", "support", "customer", "service", "info", "contact", "us",
@@ -114,7 +137,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(docs, "doc_id", items, "item_id").select("doc_id", "item_id")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p9_found": p9_found, "p10_found": p10_found}
 
 ORACLES = {
     "p2_found": r"""
