@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgextract.llm import history, leaks, ledger, reference_match, sentences, survivors
+from orgextract.llm import history, leaks, ledger, names, reference_match, sentences, survivors
+from orgextract.operators.packed import ORGANIZATION, PERSON, split_packed
 from orgextract.session import stored, table
 
 
@@ -132,12 +133,38 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = table(spark, sf_dir, "leadership_entries").filter("name IS NOT NULL")
+    email = names.address(F.col("email"))
+    host = F.regexp_replace(F.lower(F.regexp_extract("source_url", r"(?i)//(?:www\.)?([^/:?#]+)", 1)), r"^www\.", "")
+    site = F.coalesce(
+        names.organisation(F.col("credit_union")),
+        names.domain_organisation(F.substring_index(email, "@", -1)),
+        names.domain_organisation(F.nullif(host, F.lit(""))),
+    )
+    on_sites = entries.select(names.spelling(F.col("name")).alias("spelling"), site.alias("org"), email.alias("email"))
+
+    rss = table(spark, sf_dir, "leadership_changes_rss").select("Title", "Persons", "Organizations")
+    listed = rss.select(
+        "Title", split_packed(F.col("Persons"), PERSON).alias("items"), split_packed(F.col("Organizations"), ORGANIZATION).alias("orgs")
+    ).filter("size(items) > 0")
+    headline = F.regexp_replace(names.plain(F.col("Title")), "[^a-z0-9]+", "")
+    listed = listed.withColumn("_h", headline).withColumn("_o", F.transform("orgs", names.organisation))
+    named = F.filter("_o", lambda o: F.col("_h").contains(o))
+    written = names.organisation(F.regexp_extract("Title", names.ORGANISATION_PHRASE, 1))
+    org = F.coalesce(F.get(named, F.lit(0)), written, F.get("_o", F.lit(0)))
+    in_feeds = listed.select(F.explode("items").alias("item"), org.alias("org")).select(
+        names.spelling(F.col("item")).alias("spelling"), "org", F.lit(None).cast("string").alias("email")
+    )
+    return names.spelling_pairs(names.persons(on_sites.unionByName(in_feeds)))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")
     return leaks.find_leaks(docs, "doc_id", items, "item_id").select("doc_id", "item_id")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p9_found": p9_found, "p10_found": p10_found}
 
 ORACLES = {
     "p2_found": r"""
