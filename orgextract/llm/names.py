@@ -80,6 +80,8 @@ def spelling(c: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
 
 
+#: What tells a credit union from the other organisations a feed lists.
+UNION_WORDS = r"(?i)\b(?:credit union|fcu|cu|credit co-?op)\b"
 #: The two words before what kind of credit union it is, as headlines write it.
 ORGANISATION_PHRASE = (
     r"(?i)(?:^|\s)((?!board of)[\p{L}'-]+ [\p{L}'-]+) (?:(?:federal|community|employees|members|teachers & nurses|teachers &amp; nurses) )?"

@@ -149,10 +149,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Title", split_packed(F.col("Persons"), PERSON).alias("items"), split_packed(F.col("Organizations"), ORGANIZATION).alias("orgs")
     ).filter("size(items) > 0")
     headline = F.regexp_replace(names.plain(F.col("Title")), "[^a-z0-9]+", "")
-    listed = listed.withColumn("_h", headline).withColumn("_o", F.transform("orgs", names.organisation))
+    unions = F.filter("orgs", lambda o: o.rlike(names.UNION_WORDS))
+    listed = listed.withColumn("_h", headline).withColumn("_o", F.transform(unions, names.organisation))
     named = F.filter("_o", lambda o: F.col("_h").contains(o))
     written = names.organisation(F.regexp_extract("Title", names.ORGANISATION_PHRASE, 1))
-    org = F.coalesce(F.get(named, F.lit(0)), written, F.get("_o", F.lit(0)))
+    org = F.coalesce(F.get(named, F.lit(0)), F.get("_o", F.lit(0)), written)
     in_feeds = listed.select(F.explode("items").alias("item"), org.alias("org")).select(
         names.spelling(F.col("item")).alias("spelling"), "org", F.lit(None).cast("string").alias("email")
     )
