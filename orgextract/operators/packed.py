@@ -27,6 +27,13 @@ _BRACKETED = r"(?s)^\s*\[.*\]\s*$"
 #: their own, so no text can collide with a placeholder.
 _SPAN = rf'(?s)"(?:[^"\\]|""|\\.)*"|“[^”]*”|«[^»]*»|\\.|[{OPEN}{CLOSE}]'
 _SPAN_IN_BRACKETS = rf"(?s)'(?:[^'\\]|\\.)*'|" + _SPAN[4:]
+#: A cheap test for whether a text can hold a span at all.
+_MAY_HOLD_SPANS = rf'["“«\\{OPEN}{CLOSE}]'
+_PADDING = r"(?U)^[\s\u200B\uFEFF]+|[\s\u200B\uFEFF]+$"
+_PADDED = r"(?U)^[\s\u200B\uFEFF]|[\s\u200B\uFEFF]$"
+#: Character tests that spare most texts the patterns below.
+_ANY_STRONG = r"[|;•·\n\t]"
+_ANY = rf"[|;•·\n\t,/&{OPEN}]|\sand\s"
 _STRONG = r"\s*(?:\|+|;|•|·|\r?\n|\t)\s*"
 
 
@@ -59,27 +66,31 @@ ORGANIZATION = Notation(
 )
 
 
-def split_packed(value: Column, notation: Notation) -> Column:
-    """array<string> of the names in the field, in order, none empty."""
-    lit = F.lit
-    bracketed = value.rlike(_BRACKETED)
-    body = F.when(bracketed, F.regexp_replace(value, r"(?s)^\s*\[|\]\s*$", "")).otherwise(value)
+def with_items(df: DataFrame, field: str, notation: Notation, out: str) -> DataFrame:
+    """Adds `out`: array<string> of the names in the field, in order, none empty.
 
-    def within(body: Column, span: str) -> Column:
-        spans = F.regexp_extract_all(body, lit(span), 0)
-        gaps = F.split(body, span, -1)
-        masked = F.array_join(
-            F.transform(
-                gaps,
-                lambda g, i: F.when(i < F.size(gaps) - 1, F.concat(g, lit(OPEN), i.cast("string"), lit(CLOSE))).otherwise(g),
-            ),
-            "",
-        )
-        return F.transform(_cut(masked, notation), lambda item: _restore(item, spans))
-
-    items = F.when(bracketed, within(body, _SPAN_IN_BRACKETS)).otherwise(within(body, _SPAN))
-    items = F.transform(items, lambda x: F.regexp_replace(x, r"(?U)^[\s\u200B\uFEFF]+|[\s\u200B\uFEFF]+$", ""))
-    return F.filter(items, lambda x: (x != "") & (F.lower(x) != "n/a"))
+    Each step is a column of its own that the next one refers to more than once, so the optimizer
+    keeps the steps apart and no pattern runs twice over a text.
+    """
+    col = lambda name: f"_packed_{out}_{name}"
+    value = F.coalesce(F.col(field), F.lit(""))
+    bracketed = F.contains(value, F.lit("[")) & value.rlike(_BRACKETED)
+    df = df.withColumn(col("in"), bracketed).withColumn(
+        col("body"), F.when(F.col(col("in")), F.regexp_replace(value, r"(?s)^\s*\[|\]\s*$", "")).otherwise(value)
+    )
+    body, inside = F.col(col("body")), F.col(col("in"))
+    either = lambda f: F.when(inside, f(_SPAN_IN_BRACKETS)).when(body.rlike(_MAY_HOLD_SPANS), f(_SPAN)).otherwise(f(None))
+    df = df.withColumn(
+        col("spans"), either(lambda p: F.regexp_extract_all(body, F.lit(p), 0) if p else F.array().cast("array<string>"))
+    ).withColumn(col("gaps"), either(lambda p: F.split(body, p, -1) if p else F.array(body)))
+    spans = F.col(col("spans"))
+    marks = F.transform(spans, lambda s, i: F.concat(F.lit(OPEN), i.cast("string"), F.lit(CLOSE)))
+    masked = F.array_join(F.zip_with(col("gaps"), marks, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    df = df.withColumn(col("masked"), masked)
+    items = F.transform(_cut(F.col(col("masked")), notation), lambda item: _restore(item, spans))
+    items = F.transform(items, lambda x: F.when(x.rlike(_PADDED), F.regexp_replace(x, _PADDING, "")).otherwise(x))
+    df = df.withColumn(out, F.filter(items, lambda x: (x != "") & (F.lower(x) != "n/a")))
+    return df.drop(*[col(n) for n in ("in", "body", "spans", "gaps", "masked")])
 
 
 def _cut(masked: Column, n: Notation) -> Column:
@@ -88,7 +99,7 @@ def _cut(masked: Column, n: Notation) -> Column:
     conj = lambda item: F.split(F.regexp_replace(item, r"^\s*(?:and|&)\s+", ""), n.conjunction, -1)
     listed = F.flatten(F.transform(by(n.comma), conj))
     slashed = by(r"\s+/\s+")
-    cases = F.when(has(_STRONG), by(_STRONG)).when(has(rf"^\s*(?:{_MARK}\s*)+$"), by(rf"(?<={CLOSE})\s*(?={OPEN})"))
+    cases = F.when(~has(_ANY), F.array(masked)).when(has(_ANY_STRONG), by(_STRONG)).when(has(rf"^\s*(?:{_MARK}\s*)+$"), by(rf"(?<={CLOSE})\s*(?={OPEN})"))
     if n.slash_first:
         cases = cases.when(has(r"\s/\s"), slashed)
     if n.inverted:
@@ -111,14 +122,14 @@ def _restore(item: Column, spans: Column) -> Column:
     content = F.substring(first, F.lit(2), F.length(first) - 2)
     unescaped = F.regexp_replace(F.regexp_replace(content, '""', '"'), r"\\(.)", "$1")
     alone = item.rlike(rf"^{_MARK}$") & ~first.startswith("\\")
-    return F.when(F.size(at) == 0, item).when(alone, unescaped).otherwise(mixed)
+    return F.when(~F.contains(item, F.lit(OPEN)), item).when(alone, unescaped).otherwise(mixed)
 
 
 def explode_packed(df: DataFrame, keys: list[str], fields: dict[str, Notation]) -> DataFrame:
     """keys, field_name, item_pos, item: one row per name of every named field."""
-    lists = F.array(
-        *[F.struct(F.lit(f).alias("field_name"), split_packed(F.col(f), n).alias("items")) for f, n in fields.items()]
-    )
+    for i, (f, n) in enumerate(fields.items()):
+        df = with_items(df, f, n, f"_items{i}")
+    lists = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"_items{i}").alias("items")) for i, f in enumerate(fields)])
     return (
         df.select(*keys, F.explode(lists).alias("_f"))
         .select(*keys, F.col("_f.field_name").alias("field_name"), F.posexplode("_f.items").alias("_p", "item"))
