@@ -75,9 +75,9 @@ def _folded(c: Column) -> Column:
 
 
 def spelling(c: Column) -> Column:
-    """NFC, lower case, zero-width dropped, other runs one space."""
-    t = F.regexp_replace(F.lower(nfc(c)), "[​﻿]", "")
-    return F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    """NFC, lower case, zero-width dropped, other runs one space; plain texts take the short way."""
+    t = F.regexp_replace(F.lower(nfc(c)), "[\\u200B\\uFEFF]", "")
+    return F.when(c.rlike("^[A-Za-z]+(?: [A-Za-z]+)*$"), F.lower(c)).otherwise(F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")))
 
 
 #: What tells a credit union from the other organisations a feed lists.
@@ -96,14 +96,15 @@ def plain(c: Column) -> Column:
 
 def organisation(name: Column) -> Column:
     """The first two words of an organisation's name, letters and digits only; null if blank."""
-    t = F.trim(F.regexp_replace(_folded(F.lower(name)), r"[^\p{L}\p{N}]+", " "))
-    return F.nullif(F.regexp_replace(F.regexp_extract(t, r"^(\S+(?: \S+)?)", 1), " ", ""), F.lit(""))
+    lead = F.regexp_extract(name, r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+)?)", 1)
+    return F.nullif(F.regexp_replace(_folded(F.lower(lead)), r"[^\p{L}\p{N}]+", ""), F.lit(""))
 
 
 def address(email: Column) -> Column:
     """A cleaned e-mail address, or null where the text is none."""
     t = F.regexp_replace(F.regexp_replace(F.lower(email), r"mailto:|[^a-z0-9@._+%-]", ""), r"\.+$", "")
-    return F.when(t.rlike(r"^[^@]+@[^@]+\.[a-z]{2,}$"), t)
+    whole = r"^[a-z0-9_+%-]++(?:\.[a-z0-9_+%-]++)*+@[a-z0-9-]++(?:\.[a-z0-9-]++)*\.[a-z]{2,}$"
+    return F.when(email.rlike(whole), email).when(t.rlike(r"^[^@]++@[^@]+\.[a-z]{2,}$"), t)
 
 
 def domain_organisation(host: Column) -> Column:
@@ -115,7 +116,7 @@ def with_keys(df: DataFrame) -> DataFrame:
     nick = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in kv])
     parts = F.filter(F.split(_folded(F.col("spelling")), " "), lambda t: ~t.isin(ADDRESS))
     x = df.withColumn("_t", parts)
-    x = x.filter((F.size("_t") >= 2) & ~F.arrays_overlap("_t", F.array(*[F.lit(w) for w in NO_NAME])) & ~F.col("spelling").rlike(r"\p{N}"))
+    x = x.filter((F.size("_t") >= 2) & ~F.exists("_t", lambda t: t.isin(NO_NAME)) & ~F.col("spelling").rlike(r"\p{N}"))
     x = x.withColumn("_full", F.filter("_t", lambda t: F.length(t) > 1))
     # `Katherine "Kathy" Genir`: a nickname beside its own full form is dropped
     x = x.withColumn("_names", F.array_distinct(F.transform("_full", lambda t: F.coalesce(F.try_element_at(nick, t), t))))
