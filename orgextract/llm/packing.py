@@ -129,6 +129,22 @@ def _exchange(bins, fills, a: int, b: int, give: list, take: list) -> None:
     fills[b] += d
 
 
+def _packer(r: int, last: bool, capacity: int):
+    """Packs one block; bins below FULL get no name unless it is the last round."""
+
+    def run(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values(["size", "k", "part"], ascending=[False, True, True])
+        ids = list(zip(b["k"], b["part"]))
+        bins = local_search(best_fit([(int(s), i) for i, s in enumerate(b["size"])], capacity), capacity)
+        out, name = [], f"{r}-{b['_block'].iloc[0]}"
+        for j, items in enumerate(bins):
+            keep = last or sum(s for s, _ in items) >= FULL * capacity
+            out += [(f"{name}-{j}" if keep else None, *ids[i], s) for s, i in items]
+        return pd.DataFrame(out, columns=["container", "k", "part", "size"])
+
+    return run
+
+
 def pack(sizes: DataFrame, key: str, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """container, key, part, first_token, tokens. sizes: (key bigint unique, tokens)."""
     n = F.greatest(F.ceil(F.col("tokens") / capacity), F.lit(1)).cast("int")
@@ -144,18 +160,8 @@ def pack(sizes: DataFrame, key: str, capacity: int = CAPACITY, block: int = BLOC
             break
         blocks, last = -(-count // block), r == ROUNDS - 1
 
-        def run(b: pd.DataFrame, r: int = r, last: bool = last) -> pd.DataFrame:
-            items = [(int(s), i) for i, s in enumerate(b["size"])]
-            ids = list(zip(b["k"], b["part"]))
-            bins = local_search(best_fit(sorted(items, key=lambda x: (-x[0], ids[x[1]])), capacity), capacity)
-            out, name = [], f"{r}-{b['_block'].iloc[0]}"
-            for j, bin_ in enumerate(bins):
-                keep = last or sum(s for s, _ in bin_) >= FULL * capacity
-                out += [(f"{name}-{j}" if keep else None, *ids[i], s) for s, i in bin_]
-            return pd.DataFrame(out, columns=["container", "k", "part", "size"])
-
         dealt = rest.withColumn("_block", F.pmod(F.xxhash64("k", "part", F.lit(r)), F.lit(blocks)))
-        packed = stored(dealt.groupBy("_block").applyInPandas(run, "container string, k bigint, part int, size int"), "bins")
+        packed = stored(dealt.groupBy("_block").applyInPandas(_packer(r, last, capacity), "container string, k bigint, part int, size int"), "bins")
         done.append(packed.filter("container IS NOT NULL"))
         rest = packed.filter("container IS NULL").select("k", "part", "size")
     out = done[0]
