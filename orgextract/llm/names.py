@@ -71,13 +71,14 @@ _MARKED = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(0xE0,
 
 
 def _folded(c: Column) -> Column:
-    return F.translate(c, "".join(_MARKED), "".join(_MARKED.values()))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, "".join(_MARKED), "".join(_MARKED.values()))).otherwise(c)
 
 
 def spelling(c: Column) -> Column:
     """NFC, lower case, zero-width dropped, other runs one space; plain texts take the short way."""
-    t = F.regexp_replace(F.lower(nfc(c)), "[\\u200B\\uFEFF]", "")
-    return F.when(c.rlike("^[A-Za-z]+(?: [A-Za-z]+)*$"), F.lower(c)).otherwise(F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")))
+    plain_text = c.rlike("^[A-Za-z]++(?: [A-Za-z]++)*+$")
+    t = F.regexp_replace(F.lower(nfc(F.when(~plain_text, c))), "[\\u200B\\uFEFF]", "")
+    return F.when(plain_text, F.lower(c)).otherwise(F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")))
 
 
 #: What tells a credit union from the other organisations a feed lists.
@@ -115,32 +116,23 @@ def with_keys(df: DataFrame) -> DataFrame:
     """Adds key (sorted full parts), short (part cut to letters) and rest for initials; drops what is no name."""
     nick = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in kv])
     parts = F.filter(F.split(_folded(F.col("spelling")), " "), lambda t: ~t.isin(ADDRESS))
-    x = df.withColumn("_t", parts)
-    x = x.filter((F.size("_t") >= 2) & ~F.exists("_t", lambda t: t.isin(NO_NAME)) & ~F.col("spelling").rlike(r"\p{N}"))
-    x = x.withColumn("_full", F.filter("_t", lambda t: F.length(t) > 1))
-    # `Katherine "Kathy" Genir`: a nickname beside its own full form is dropped
-    x = x.withColumn("_names", F.array_distinct(F.transform("_full", lambda t: F.coalesce(F.try_element_at(nick, t), t))))
-    x = x.filter(F.size("_names") >= 1)
-    lead, tail = F.element_at("_t", 1), F.element_at("_t", -1)
-    abbreviated = (F.size("_names") == 1) | (F.length(F.get("_names", F.lit(0))) <= 3)
-    return x.select(
-        *df.columns,
-        F.array_join(F.array_sort("_names"), "").alias("key"),
-        (F.size("_names") >= 2).alias("whole"),
+    # `Katherine "Kathy" Genir`: a nickname beside its own full form is one part
+    long_parts = F.transform(F.filter("_t", lambda t: F.length(t) > 1), lambda t: F.coalesce(F.try_element_at(nick, t), t))
+    x = df.withColumn("_t", parts).withColumn("_names", F.array_distinct(long_parts))
+    named = (F.size("_t") >= 2) & (F.size("_names") >= 1) & ~F.exists("_t", lambda t: t.isin(NO_NAME) | t.rlike(r"\p{N}"))
+    lead, tail, n = F.get("_t", F.lit(0)), F.element_at("_t", -1), F.size("_names")
+    head, family = F.get("_names", F.lit(0)), F.array_join(F.slice("_names", 2, 9), "")
+    short = (
         F.when(F.length(lead) == 1, F.concat(lead, F.lit(">"), F.array_join("_names", "")))
         .when(F.length(tail) == 1, F.concat(tail, F.lit("<"), F.array_join("_names", "")))
-        .when(abbreviated & (F.size("_names") > 1), F.concat(F.get("_names", F.lit(0)), F.lit(">"), F.array_join(F.slice("_names", 2, 9), "")))
-        .alias("short"),
-        F.when(
-            F.size("_names") >= 2,
-            F.flatten(
-                F.array(
-                    F.transform(F.array(*[F.lit(i) for i in (1, 2, 3)]), lambda n: F.concat(F.substring(F.get("_names", F.lit(0)), F.lit(1), n), F.lit(">"), F.array_join(F.slice("_names", 2, 9), ""))),
-                    F.array(F.concat(F.substring(F.element_at("_names", -1), 1, 1), F.lit("<"), F.array_join(F.slice("_names", F.lit(1), F.size("_names") - 1), ""))),
-                )
-            ),
-        ).alias("shorts"),
+        .when((n > 1) & (F.length(head) <= 3), F.concat(head, F.lit(">"), family))
     )
+    cuts = [F.concat(F.substring(head, 1, i), F.lit(">"), family) for i in (1, 2, 3)]
+    given = F.array_join(F.slice("_names", F.lit(1), n - 1), "")
+    shorts = F.when(n >= 2, F.array(*cuts, F.concat(F.substring(F.element_at("_names", -1), 1, 1), F.lit("<"), given)))
+    keys = F.struct(F.array_join(F.array_sort("_names"), "").alias("key"), (n >= 2).alias("whole"), short.alias("short"), shorts.alias("shorts"))
+    # a generator, not a filter: a filter would be pushed below the steps and make them run twice
+    return x.select(*df.columns, F.explode(F.when(named, F.array(keys))).alias("_k")).select(*df.columns, "_k.*")
 
 
 EDITS = 2

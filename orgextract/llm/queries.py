@@ -148,18 +148,19 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # other rows need the packed field taken apart.
     rss = table(spark, sf_dir, "leadership_changes_rss").select("Title", "Persons", "Organizations")
     phrase = F.regexp_extract(F.coalesce("Title", F.lit("")), names.ORGANISATION_PHRASE, 1)
-    rss = rss.filter(F.col("Persons").isNotNull()).withColumn("_phrase", phrase)
-    confirmed = F.coalesce((F.col("_phrase") != "") & F.contains(F.lower("Organizations"), F.lower("_phrase")), F.lit(False))
-    sure = with_items(rss.filter(confirmed), "Persons", PERSON, "items").select("items", names.organisation(F.col("_phrase")).alias("org"))
-    open_ = with_items(rss.filter(~confirmed), "Persons", PERSON, "items").filter("size(items) > 0")
-    open_ = with_items(open_, "Organizations", ORGANIZATION, "orgs")
+    rss = rss.filter(F.length("Persons") > 3).withColumn("_phrase", phrase)
+    confirmed = F.coalesce((F.col("_phrase") != "") & F.contains("Organizations", F.col("_phrase")), F.lit(False))
+    rss = rss.withColumn("_unsure", F.when(~confirmed, F.col("Organizations")))
+    listed = with_items(with_items(rss, "Persons", PERSON, "items"), "_unsure", ORGANIZATION, "orgs")
     headline = F.regexp_replace(names.plain(F.col("Title")), "[^a-z0-9]+", "")
     unions = F.filter("orgs", lambda o: o.rlike(names.UNION_WORDS))
-    open_ = open_.withColumn("_h", headline).withColumn("_o", F.transform(unions, names.organisation))
+    listed = listed.withColumn("_o", F.transform(unions, names.organisation))
+    listed = listed.withColumn("_h", F.when(F.size("_o") > 1, headline).otherwise(""))
     named = F.filter("_o", lambda o: F.col("_h").contains(o))
     org = F.coalesce(F.get(named, F.lit(0)), F.get("_o", F.lit(0)), names.organisation(F.col("_phrase")))
-    listed = sure.unionByName(open_.select("items", org.alias("org")))
-    in_feeds = listed.select(F.explode("items").alias("item"), "org").select(
+    listed = listed.select("items", org.alias("org"))
+    # outer, so that no filter on the array is inferred and pushed down to where it is computed again
+    in_feeds = listed.select(F.explode_outer("items").alias("item"), "org").filter("item IS NOT NULL").select(
         names.spelling(F.col("item")).alias("spelling"), "org", F.lit(None).cast("string").alias("email")
     )
     return names.spelling_pairs(names.persons(on_sites.unionByName(in_feeds)))
