@@ -34,6 +34,10 @@ _VERBS = ["selects", "names", "appoints", "promotes", "joins", "elected", "named
 _TITLES = {"mr", "mrs", "ms", "dr", "hon", "prof", "rev", "jr", "sr", "ii", "iii", "iv", "cpa", "ccue", "cfa", "mba"}
 
 
+#: A headline that ends in the organisation still states the position when it is cut short.
+_ENDS_IN_ORG = range(5, 8)
+
+
 def fold(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c)).lower()
 
@@ -62,9 +66,9 @@ def parse(title: str, matcher: Matcher) -> tuple[str, str, int, str, bool] | Non
 
 def _parts(text: str, matcher: Matcher, cut: bool):
     for attempt in (text, _respell(text)):
-        for w in _WORDINGS:
+        for k, w in enumerate(_WORDINGS):
             m = w.match(attempt)
-            if not m:
+            if not m or (cut and k not in _ENDS_IN_ORG):
                 continue
             role = re.sub(r"^(?:its |the )?new ", "", m["r"], flags=re.I)
             role = re.sub(r",? effective .*$| pos?o?s?t\b.*$", "", role, flags=re.I)
