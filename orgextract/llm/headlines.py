@@ -57,7 +57,7 @@ def parse(title: str, matcher: Matcher) -> tuple[str, str, int, str, bool] | Non
     text = _LEAD.sub("", clean(title)).strip(" \"'“”*")
     cut = bool(_CUT.search(text))
     text = _CUT.sub("", text).rstrip()
-    for t in dict.fromkeys((text, _TAIL.sub("", text).rstrip("!. "))):
+    for t in dict.fromkeys((_TAIL.sub("", text).rstrip("!. "), text)):
         hit = _parts(t if cut else t.rstrip("!. "), matcher, cut)
         if hit:
             return hit

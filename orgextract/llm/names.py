@@ -127,7 +127,7 @@ def with_keys(df: DataFrame) -> DataFrame:
         .when(F.length(tail) == 1, F.concat(tail, F.lit("<"), F.array_join("_names", "")))
         .when((n > 1) & (F.length(head) <= 3), F.concat(head, F.lit(">"), family))
     )
-    cuts = [F.concat(F.substring(head, 1, i), F.lit(">"), family) for i in (1, 2, 3)]
+    cuts = [F.concat(F.substring(head, 1, i), F.lit(">"), family) for i in (1, 2, 3)] + [F.concat(F.substring(lead, 1, 1), F.lit(">"), family)]
     given = F.array_join(F.slice("_names", F.lit(1), n - 1), "")
     shorts = F.when(n >= 2, F.array(*cuts, F.concat(F.substring(F.element_at("_names", -1), 1, 1), F.lit("<"), given)))
     keys = F.struct(F.array_join(F.array_sort("_names"), "").alias("key"), (n >= 2).alias("whole"), short.alias("short"), shorts.alias("shorts"))
@@ -136,6 +136,8 @@ def with_keys(df: DataFrame) -> DataFrame:
 
 
 EDITS = 2
+#: Keys shorter than this may differ in one letter only.
+LONG = 8
 
 
 def _starts(n: Column, k: int) -> list[tuple[Column, Column]]:
@@ -173,7 +175,7 @@ def alike(asked: DataFrame, known: DataFrame, k: int = EDITS) -> DataFrame:
     i = index_segments(known.select("org", F.col("key")), k).withColumnRenamed("key", "other")
     pairs = q.join(i, ["org", "n", "i", "seg"]).filter("key <> other").select("org", "key", "other").distinct()
     pairs = pairs.withColumn("dist", F.levenshtein("key", "other", k)).filter("dist >= 0")
-    return pairs.filter((F.col("dist") <= 1) | (F.length("key") >= 9))
+    return pairs.filter((F.col("dist") <= 1) | (F.length("key") >= LONG))
 
 
 def persons(sightings: DataFrame) -> DataFrame:
