@@ -16,14 +16,12 @@ def strip_tags(html: Column) -> Column:
 def infer_role_b(text: Column) -> Column:
     """The longest match over all patterns; ties to the earlier pattern, then the earlier place."""
     t, n = F.coalesce(text, F.lit("")), len(p.ROLES_B)
-    hits = F.flatten(
-        F.array(
-            *[
-                F.transform(F.regexp_extract_all(t, F.lit(rf"(?i)\b{r}\b"), 0), lambda m, j, i=i: F.struct(F.length(m).alias("l"), F.lit(n - i).alias("r"), (-j).alias("o"), m.alias("m")))
-                for i, r in enumerate(p.ROLES_B)
-            ]
-        )
-    )
+
+    def hits_of(i: int, role: str) -> Column:
+        found = F.regexp_extract_all(t, F.lit(rf"(?i)\b{role}\b"), 0)
+        return F.transform(found, lambda m, j: F.struct(F.length(m).alias("l"), F.lit(n - i).alias("r"), (-j).alias("o"), m.alias("m")))
+
+    hits = F.flatten(F.array(*[hits_of(i, r) for i, r in enumerate(p.ROLES_B)]))
     return F.coalesce(F.array_max(hits)["m"], F.lit(""))
 
 

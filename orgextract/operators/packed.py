@@ -6,7 +6,7 @@ are exploded with their places. Everything is a built-in SQL expression, so the
 runs inside one scan stage without a shuffle; one field is never larger than its row.
 
 Defined results
-* null, blank and ``N/A`` fields, and empty places, give no row; places count from 1;
+* null, blank and ``N/A`` fields, and places without a letter or digit, give no row; places count from 1;
 * a comma (or "and", "&", "/") that belongs to a name stays in it: behind an escape, in a
   quoted span, before a legal or personal suffix, or inside an organisation's name;
 * a name's own inner quotation marks stay; enclosing marks, brackets and escapes go;
@@ -89,7 +89,7 @@ def with_items(df: DataFrame, field: str, notation: Notation, out: str) -> DataF
     df = df.withColumn(col("masked"), masked)
     items = F.transform(_cut(F.col(col("masked")), notation), lambda item: _restore(item, spans))
     items = F.transform(items, lambda x: F.when(x.rlike(_PADDED), F.regexp_replace(x, _PADDING, "")).otherwise(x))
-    df = df.withColumn(out, F.filter(items, lambda x: (x != "") & (F.lower(x) != "n/a")))
+    df = df.withColumn(out, F.filter(items, lambda x: x.rlike(r"[\p{L}\p{N}]") & (F.lower(x) != "n/a")))
     return df.drop(*[col(n) for n in ("in", "body", "spans", "gaps", "masked")])
 
 
