@@ -266,7 +266,7 @@ def name_spans(spark: SparkSession, d: str) -> DataFrame:
     return t.spans(table(spark, d, "documents"), ["doc_id"], "text", p.NAME_C, 1).select("doc_id", "ord", F.col("match").alias("name"))
 
 
-@query(r"""SELECT doc_id, count(*) AS n, sum(len(m)) AS chars FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS m FROM documents) GROUP BY doc_id""")
+@query(r"""SELECT doc_id, count(*) AS n, sum(len(m))::BIGINT AS chars FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS m FROM documents) GROUP BY doc_id""")
 def span_offsets(spark: SparkSession, d: str) -> DataFrame:
     """Every span's text equals the substring at its offsets; what differs would be missing here."""
     docs = table(spark, d, "documents").select("doc_id", "text")
@@ -364,7 +364,7 @@ def mailto_context(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "nation").filter(~F.contains("n_name", F.lit(" "))).select("n_nationkey", html.alias("html"))
     x = ancestor_text(html_elements(pages, "n_nationkey", "html"), "n_nationkey").filter("tag = 'a'")
     parent = F.regexp_replace(F.col("text_up1"), "^(CEO)", "$1 ")
-    return x.select("n_nationkey", t.role_first_c(parent).alias("role"), F.regexp_extract(parent, r"(Ann [A-Z][a-z]+)", 1).alias("context_name"), e.strip_mailto(F.col("attrs")["href"]).alias("email"))
+    return x.select("n_nationkey", t.role_first_c(parent).alias("role"), F.regexp_extract(parent, r"(Ann [A-Z]\w+)", 1).alias("context_name"), e.strip_mailto(F.col("attrs")["href"]).alias("email"))
 
 
 @query(r"""SELECT n_nationkey, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'manager' ELSE 'director' END AS role FROM nation""")
@@ -540,7 +540,7 @@ def joined_or_na(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""SELECT 'credit_union' AS column_name, count(*) FILTER (regexp_matches(credit_union, '{RX}')) AS hits FROM credit_unions UNION ALL SELECT 'domain', count(*) FILTER (regexp_matches(domain, '{RX}')) FROM credit_unions
-UNION ALL SELECT 'url', count(*) FILTER (regexp_matches(url, '{RX}')) FROM credit_unions UNION ALL SELECT 'allowed_paths', count(*) FILTER (regexp_matches(allowed_paths, '{RX}')) FROM credit_unions""".replace("{RX}", orgs.URL_LIKE))
+UNION ALL SELECT 'url', count(*) FILTER (regexp_matches(url, '{RX}')) FROM credit_unions UNION ALL SELECT 'allowed_paths', count(*) FILTER (regexp_matches(allowed_paths, '{RX}')) FROM credit_unions""".replace("{RX}", orgs.URL_LIKE.replace("'", "''")))
 def seed_column_scores(spark: SparkSession, d: str) -> DataFrame:
     """S3, A1: URL-like cells per column, one aggregate over the table."""
     x = table(spark, d, "credit_unions").select("credit_union", "domain", "url", "allowed_paths")
@@ -550,7 +550,7 @@ def seed_column_scores(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""WITH a AS (SELECT org_id, credit_union, coalesce(CASE WHEN regexp_matches(url, '{RX}') THEN url END, CASE WHEN regexp_matches(domain, '{RX}') THEN domain END) AS raw FROM credit_unions),
 b AS (SELECT org_id, credit_union, CASE WHEN regexp_matches(trim(raw, E' \t\n\r"'''), '(?i)^[a-z][a-z0-9+.-]*://') THEN trim(raw, E' \t\n\r"''') ELSE 'https://' || ltrim(trim(raw, E' \t\n\r"'''), '/') END AS url FROM a WHERE raw IS NOT NULL),
 c AS (SELECT org_id, ltrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS host FROM b)
-SELECT min(org_id) AS org_id, host FROM c GROUP BY host""".replace("{RX}", orgs.URL_LIKE))
+SELECT min(org_id) AS org_id, host FROM c GROUP BY host""".replace("{RX}", orgs.URL_LIKE.replace("'", "''")))
 def seed_dedup(spark: SparkSession, d: str) -> DataFrame:
     """The first URL-like cell of a row, first row per host."""
     x = table(spark, d, "credit_unions").withColumn("raw", orgs.first_url(["url", "domain"])).filter("raw IS NOT NULL")
