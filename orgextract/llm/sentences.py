@@ -49,7 +49,7 @@ _BEFORE_SMALL = "Inc|Co|Ltd|Corp|Jr|etc|usw"
 _BEFORE_DIGIT = "no|nos|art|fig|vol|ch|sec|p|s|n"
 _MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
 #: Full stops inside these are part of them.
-_DOTTED = r"(?i)https?://[^\s<>\[\]]*[^\s<>\[\].,!?;:)]|[\w.+-]+@[\w-]+(?:\.[\w-]+)+"
+_DOTTED = r"(?i)https?://[^\s<>\[\]]*[^\s<>\[\].,!?;:)]|[\w.+-]++@[\w-]+(?:\.[\w-]+)+"
 _GREETING = r"(?i)^[>\s]*(?:hi|hello|hey|dear|hallo|liebe|lieber|bonjour|salut|hola|guten tag)\b[^.!?:;]{0,40},\s*$"
 _GOING_ON = "near|at|in|on|to|and|but|or|for|from|until|till|with|by|when|while|sharp|today|tomorrow|yesterday"
 
@@ -69,15 +69,25 @@ def _lines(df: DataFrame) -> DataFrame:
     entry = lambda x: x.rlike(rf"^[>\s{SOFT}]*(?:[-*•–+]|\d{{1,3}}[.)](?!\s+(?:{_MONTHS})))\s+\S")
     reference = lambda x: x.rlike(r"(?iu)(?:^|[\s(])(?:p|pp|no|nr|art|pág|s|n|стр|рис)\.\s*$")
     mark = lambda x: x.rlike(rf"^[>\s{SOFT}]*(?:--|_{{3,}}|~{{3,}})\s*$")
-    ends = lambda a, b: (
-        blank(a) | blank(b) | (depth(a) != depth(b)) | (entry(b) & ~reference(a)) | mark(a) | mark(b) | a.rlike(_GREETING)
-    )
-    df = df.withColumn("_l", F.split("_t", "\n", -1))
-    following = F.slice("_l", F.lit(2), F.size("_l"))
-    joined = F.zip_with(
-        "_l", following, lambda a, b: F.when(b.isNull(), a).when(ends(a, b), F.concat(a, F.lit(CUT))).otherwise(F.concat(a, F.lit("\n")))
-    )
-    return df.withColumn("_t", F.array_join(joined, "")).drop("_l")
+    # what a line is gets tested once per line, then neighbours are compared
+    seen = F.struct
+    df = df.withColumn("_l", F.split("_t", "\n", -1)).withColumn(
+        "_k",
+        F.transform(
+            "_l",
+            lambda x: seen(
+                x.alias("x"), F.when(F.contains(x, F.lit(">")), depth(x)).otherwise(0).alias("depth"), blank(x).alias("blank"), entry(x).alias("entry"),
+                (F.rtrim(x).endswith(".") & reference(x)).alias("reference"), mark(x).alias("mark"), (F.rtrim(x).endswith(",") & x.rlike(_GREETING)).alias("greeting"),
+            ),
+        ),
+    )
+    following = F.slice("_k", F.lit(2), F.size("_k"))
+
+    def joined(a: Column, b: Column) -> Column:
+        ends = a["blank"] | b["blank"] | (a["depth"] != b["depth"]) | (b["entry"] & ~a["reference"]) | a["mark"] | b["mark"] | a["greeting"]
+        return F.when(b.isNull(), a["x"]).when(ends, F.concat(a["x"], F.lit(CUT))).otherwise(F.concat(a["x"], F.lit("\n")))
+
+    return df.withColumn("_t", F.array_join(F.zip_with("_k", following, joined), "")).drop("_l", "_k")
 
 
 def masked(df: DataFrame) -> DataFrame:
@@ -92,18 +102,18 @@ def masked(df: DataFrame) -> DataFrame:
     df = _lines(df)
     df = _each_span(df, _DOTTED, lambda s: F.translate(s, ".!?", DOT * 3))
     t = F.col("_t")
-    t = rep(t, r"(?<=\d)[.](?=\d)", DOT)
-    t = rep(t, rf"(?<=(?:^|[\n{CUT}{HARD}])[>\s{SOFT}]{{0,8}}\d{{1,3}})\.(?=\s)", DOT)
-    t = rep(t, rf"(?<=\d)\.(?={_W}+(?i:{_MONTHS})\b)", DOT)
-    t = rep(t, rf"(?iu)(?<![\p{{L}}\p{{M}}\p{{N}}])([ap])\.m\.(?={_W}*[,:;)]|[^\n{CUT}{HARD}]{{0,80}}[:：][ \t]*(?:[\n{CUT}{HARD}]|$)|{_W}+(?-i:{_GOING_ON}|{_GOING_ON.upper()})\b)", f"$1{DOT}m{DOT}")
-    t = rep(t, r"(?iu)(?<![\p{L}\p{M}\p{N}])([ap])\.(m)\.", f"$1{DOT}$2{_KEPT}")
-    t = rep(t, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(\p{{L}})\.(?=\s|\p{{L}}\.|{_W}|[,;:])", f"$1{DOT}")
-    t = rep(t, rf"(?<=[{DOT}]\p{{L}})\.(?=\s|\p{{L}}|[,;:])", DOT)
+    t = rep(t, r"\.(?=\d)(?<=\d\.)", DOT)
+    t = rep(t, rf"\.(?=\s)(?<=\d\.)(?<=(?:^|[\n{CUT}{HARD}])[>\s{SOFT}]{{0,8}}\d{{1,3}}\.)", DOT)
+    t = rep(t, rf"\.(?<=\d\.)(?={_W}+(?i:{_MONTHS})\b)", DOT)
+    t = rep(t, rf"(?iu)([ap])\.m\.(?<![\p{{L}}\p{{M}}\p{{N}}][ap]\.m\.)(?={_W}*[,:;)]|[^\n{CUT}{HARD}]{{0,80}}[:：][ \t]*(?:[\n{CUT}{HARD}]|$)|{_W}+(?-i:{_GOING_ON}|{_GOING_ON.upper()})\b)", f"$1{DOT}m{DOT}")
+    t = rep(t, r"(?iu)([ap])\.(m)\.(?<![\p{L}\p{M}\p{N}][ap]\.m\.)", f"$1{DOT}$2{_KEPT}")
+    t = rep(t, rf"\.(?<=\p{{L}}\.)(?<![\p{{L}}\p{{M}}\p{{N}}]\p{{L}}\.)(?=\s|\p{{L}}\.|{_W}|[,;:])", DOT)
+    t = rep(t, rf"\.(?<=[{DOT}]\p{{L}}\.)(?=\s|\p{{L}}|[,;:])", DOT)
     t = rep(t, _KEPT, ".")
-    t = rep(t, rf"(?iu)(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_ALWAYS}))\.(?=\s|{_W}|[,;:])", DOT)
-    t = rep(t, rf"(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_CASED}|{_CASED.upper()}))\.(?=\s|{_W}|[,;:])", DOT)
-    t = rep(t, rf"(?i)(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_DIGIT}))\.(?={_W}*\d)", DOT)
-    t = rep(t, rf"(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_SMALL}|{_BEFORE_SMALL.upper()}|{_BEFORE_SMALL.lower()}))\.(?={_W}+[^\s\p{{Lu}}]|[,;:])", DOT)
+    t = rep(t, rf"(?iu)\.(?=\s|{_W}|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_ALWAYS})\.)", DOT)
+    t = rep(t, rf"\.(?=\s|{_W}|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_CASED}|{_CASED.upper()})\.)", DOT)
+    t = rep(t, rf"(?i)\.(?={_W}*\d)(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_DIGIT})\.)", DOT)
+    t = rep(t, rf"\.(?={_W}+[^\s\p{{Lu}}]|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_SMALL}|{_BEFORE_SMALL.upper()}|{_BEFORE_SMALL.lower()})\.)", DOT)
     # speech inside a sentence doesn't end it
     t = rep(t, rf"[!?؟](?=[!?]*\s?{_CLOSE}+,?{_W}+[—–-]?{_W}*\p{{Ll}})", DOT)
     t = rep(t, rf"[!?؟](?={_CLOSE}*{_W}+[—–]{_W}*\p{{Ll}})", DOT)
@@ -117,13 +127,13 @@ def bounded(t: Column) -> Column:
     """Marks the boundaries of a masked text: a cut replaces white space, HERE is inserted where there is none."""
     rep = F.regexp_replace
     t = rep(t, rf"([.!?؟।॥…](?:\s?[”»])?{_CLOSE}*)(?:\s|[>{NBSP}])(?!{_W}*[”»])", f"$1{CUT}")
-    t = rep(t, r"((?<![\p{L}\p{N}])[:;]-?[()DP])\s", f"$1{CUT}")
-    t = rep(t, r"(?<=[\p{Ll}\p{N})\]”»][.!?]{1,3})(?=[\p{Lu}(@“„«¿¡])", HERE)
-    t = rep(t, r"(?<=[!?…])(?=\p{L})", HERE)
-    t = rep(t, r"(?<=[。！？｡][”’」』）\"]{0,2})(?![。！？｡”’」』）\"…])", HERE)
-    t = rep(t, r"(?<=…)(?=[“「『])", HERE)
+    t = rep(t, r"([:;](?<![\p{L}\p{N}][:;])-?[()DP])\s", f"$1{CUT}")
+    t = rep(t, r"([.!?]{1,3})(?=[\p{Lu}(@“„«¿¡])(?<=[\p{Ll}\p{N})\]”»][.!?]{1,3})", f"$1{HERE}")
+    t = rep(t, r"([!?…])(?=\p{L})", f"$1{HERE}")
+    t = rep(t, r"([。！？｡][”’」』）\"]{0,2})(?![。！？｡”’」』）\"…])", f"$1{HERE}")
+    t = rep(t, r"(…)(?=[“「『])", f"$1{HERE}")
     # scripts that part sentences by a space alone
-    return rep(t, rf"(?<=[ก-๏])\s(?={_W}*[ก-ฮเ-ไ])", CUT)
+    return rep(t, rf"([ก-๏])\s(?={_W}*[ก-ฮเ-ไ])", f"$1{CUT}")
 
 
 def sentence_units(df: DataFrame, doc_id: str, text: str) -> DataFrame:
