@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orgextract.operators.skew import join_counted
-from orgextract.session import stored
+from orgextract.session import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,7 +38,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 40) -> DataFr
     e = stored(e, "edges")
     before = None
     for _ in range(max_rounds):
-        e = stored(_star(_star(e, True), False), "edges")
+        last, e = e, stored(_star(_star(e, True), False), "edges")
+        discard(last)
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
