@@ -113,5 +113,5 @@ def top_roles(df: DataFrame, order: list[str], n: int = 100) -> DataFrame:
 def personal_emails(emails: DataFrame) -> DataFrame:
     """Distinct non-generic addresses; all of them if every one is generic."""
     d = emails.select("email").distinct().withColumn("_g", e.is_generic(F.col("email"), "A"))
-    none = d.agg((F.count_if(~F.col("_g")) == 0).alias("_all"))
-    return d.crossJoin(F.broadcast(none)).filter("NOT _g OR _all").select("email")  # one-row aggregate
+    personal = d.agg(F.count_if(~F.col("_g"))).scalar()
+    return d.filter(~F.col("_g") | (personal == 0)).select("email")

@@ -18,8 +18,10 @@ from orgextract.functions.html import ancestor_text, html_elements
 from orgextract.functions.jsonld import people as jsonld_people
 from orgextract.functions.jsonld import scripts
 from orgextract.operators import announcements as ann
+from orgextract.operators import extract as ext
 from orgextract.operators import nearest, resolve
 from orgextract.operators.frontier import expand
+from orgextract.operators.skew import join_counted
 from orgextract.session import table
 from orgextract.sources import orgs
 
@@ -556,3 +558,92 @@ def seed_dedup(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "credit_unions").withColumn("raw", orgs.first_url(["url", "domain"])).filter("raw IS NOT NULL")
     x = x.withColumn("host", u.host_root(u.normalize_url(F.col("raw")))).select("org_id", "host")
     return nearest.keep_first(x, ["host"], ["org_id"])
+
+
+# ---------------------------------------------------------------- composite extractors over pages derived from columns
+
+
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """A page per supplier: a JSON-LD block, a mailto link, an encoded address and a staff line."""
+    k, n = F.col("s_suppkey").cast("string"), F.col("s_suppkey")
+    cat = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    url = cat("https://www.s", (n % 7).cast("string"), "cu.org/team/", k)
+    html = cat(
+        '<html><script type="application/ld+json">{"@type":"Person","jobTitle":"CFO","name":"Joan Lee","email":"j', k, '@cu.org"}</script>',
+        '<p>Treasurer, Max Moe, <a href="mailto:max', k, '@cu.org?subject=a">write</a></p><a href="#" data-cfemail="5a3b34341a392f7435283d">click here</a>',
+        '<div>CEO Ann Leeds ann', k, '@cu.org</div><a href="../about">a</a><a href="/staff/', k, '">b</a><a href="/blog/x">c</a><a href="/doc.pdf">d</a><a href="https://other.org/">e</a></html>',
+    )
+    return table(spark, d, "supplier").select(n.alias("page_id"), url.alias("source_url"), html.alias("html"))
+
+
+@query(r"""WITH s AS (SELECT s_suppkey AS k FROM supplier)
+SELECT k AS page_id, 'json-ld' AS found_via, 'CFO' AS role, 'Joan Lee' AS name, 'j' || k || '@cu.org' AS email FROM s
+UNION ALL SELECT k, 'cfemail', '', '', 'ann@cu.org' FROM s UNION ALL SELECT k, 'click-here', '', '', 'ann@cu.org' FROM s
+UNION ALL SELECT k, 'leadership-mailto', 'Treasurer', 'Treasurer', 'max' || k || '@cu.org' FROM s
+UNION ALL SELECT k, 'leadership-structured', 'CEO', 'Ann Leeds', 'ann' || k || '@cu.org' FROM s
+UNION ALL SELECT k, 'html', '', '', unnest(['j' || k || '@cu.org', 'max' || k || '@cu.org', 'ann' || k || '@cu.org']) FROM s""")
+def extractors(spark: SparkSession, d: str) -> DataFrame:
+    """X1, X5, X6, X7, X9 in one union."""
+    x = ext.extract(_pages(spark, d), ["json-ld", "html", "cfemail", "leadership-mailto", "click-here", "leadership-structured"])
+    return x.select("page_id", "found_via", "role", "name", "email")
+
+
+@query(r"""SELECT s_suppkey AS page_id, pos, 'https://www.s' || (s_suppkey % 7) || 'cu.org/' || CASE pos WHEN 3 THEN 'staff/' || s_suppkey ELSE 'about' END AS url FROM supplier, (SELECT unnest([2, 3]) AS pos)""")
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    """Same-host links, made absolute, without denied ones and PDFs."""
+    return ext.links(_pages(spark, d)).filter("NOT url LIKE '%/team/%'").select("page_id", "pos", "url")
+
+
+@query(r"""WITH d AS (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(text, '{EMAIL}'))) AS email FROM documents WHERE text LIKE '%@%'),
+w AS (SELECT doc_id, email, [trim(x, E' \t\n\r') FOR x IN string_split_regex(substr(text, greatest(instr(text, email) - 400, 1), instr(text, email) + len(email) + 200 - greatest(instr(text, email) - 400, 1)), '[\n\r,;•·|\-]')] AS c FROM d),
+r AS (SELECT doc_id, email, coalesce([regexp_extract(x, '{ROLES_C}', 1) FOR x IN c IF regexp_extract(x, '{ROLES_C}', 1) <> ''][1], '') AS role,
+  coalesce([regexp_extract(x, '{NAME_C}', 1) FOR x IN [regexp_replace(y, '[ªµºÀ-ÖØ-öø-ɏ]', '_', 'g') FOR y IN c] IF regexp_extract(x, '{NAME_C}', 1) <> ''][1], '') AS name FROM w)
+SELECT doc_id, email, role, CASE WHEN name IN ('Email','E-mail','Mail','St','Street','Hours','Support','Customer','Service','Info','Contact','Us','Department') OR (role = '' AND list_contains({GENERIC_C}, lower(split_part(email, '@', 1)))) THEN '' ELSE name END AS name FROM r""".replace("{NAME_C}", p.NAME_C))
+def context_people(spark: SparkSession, d: str) -> DataFrame:
+    """Role and name near each address of a text."""
+    x = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.lit("").alias("source_url"), F.col("text").alias("html"))
+    return ext.context_people(x).select(F.col("page_id").alias("doc_id"), "email", "role", "name")
+
+
+@query(r"""SELECT e.entry_id, c.org_id FROM (SELECT entry_id, lower(trim(credit_union, E' \t\n\r')) AS k FROM leadership_entries WHERE credit_union IS NOT NULL) e
+JOIN (SELECT lower(trim(credit_union, E' \t\n\r')) AS k, min(org_id) AS org_id FROM credit_unions WHERE trim(coalesce(credit_union, '')) <> '' GROUP BY 1) c USING (k)""")
+def attach_org(spark: SparkSession, d: str) -> DataFrame:
+    """JN10: records meet their organisation by folded name, balanced for organisations with many records."""
+    key = F.lower(u.strip(F.col("credit_union")))
+    rows = table(spark, d, "leadership_entries").filter("credit_union IS NOT NULL").select("entry_id", key.alias("k"))
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    org = table(spark, d, "credit_unions").select("org_id", key.alias("k")).filter("k <> ''").groupBy("k").agg(F.min("org_id").alias("org_id"))
+    return join_counted(rows, org.join(counts, "k"), "k", "n").select("entry_id", "org_id")
+
+
+@query(r"""SELECT rec_id, email, domain FROM (SELECT rec_id, lower(email) AS email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)) AS domain,
+  ltrim(lower(regexp_extract(coalesce(source, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS host FROM people WHERE regexp_full_match(coalesce(email, ''), '{EMAIL}'))
+WHERE email <> 'user@example.com' AND (ltrim(domain, 'w.') = ltrim(host, 'w.') OR domain IN ('meridalecommons.example') OR domain LIKE '%.coop' OR domain LIKE '%.org' OR domain LIKE '%.cu' OR domain LIKE '%creditunion%' OR domain LIKE '%fcu%' OR domain LIKE '%cu.com' OR domain LIKE '%cu.%')
+QUALIFY row_number() OVER (PARTITION BY email ORDER BY rec_id) = 1""")
+def email_records(spark: SparkSession, d: str) -> DataFrame:
+    """B1, P5, A7 over person records: validated, gated against the source's host, first per address."""
+    x = table(spark, d, "people").select("rec_id", F.lower("email").alias("email"), F.coalesce("source", F.lit("")).alias("source_url"), F.lit("leadership").alias("found_via"))
+    x = resolve.email_records(x, F.array(F.lit("meridalecommons.example")))
+    return resolve.dedup_emails(x, ["rec_id"]).select("rec_id", "email", "domain")
+
+
+@query(r"""SELECT org_id, upper(trim(regexp_replace(split_part(h, '.', 1), '[-_]', ' ', 'g'))) AS name FROM (
+  SELECT org_id, ltrim(lower(regexp_extract(CASE WHEN regexp_matches(trim(url, E' \t\n\r'), '(?i)^https?://') THEN trim(url, E' \t\n\r') ELSE 'https://' || trim(url, E' \t\n\r') END, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS h
+  FROM credit_unions WHERE trim(coalesce(url, ''), E' \t\n\r') <> '')""")
+def name_from_url(spark: SparkSession, d: str) -> DataFrame:
+    x = table(spark, d, "credit_unions").filter(u.strip(F.coalesce("url", F.lit(""))) != "")
+    return x.select("org_id", u.name_from_url(F.col("url")).alias("name"))
+
+
+@query(r"""SELECT rec_id, name FROM people WHERE list_contains(['example'], 'x') OR (role IS NOT NULL AND regexp_matches(role, '(?i)^(?:chief executive officer|ceo|president|chief financial officer|cfo|chief operating officer|coo|chief information officer|cio|chief technology officer|cto|chief risk officer|cro|chief lending officer|clo|chief marketing officer|cmo|executive vice president|evp|senior vice president|svp|vice president|vp|board chair|chair)$') AND email IS NOT NULL)""")
+def senior_found(spark: SparkSession, d: str) -> DataFrame:
+    """Records with a senior title and an address, which end a site's expansion."""
+    titles = F.array(*[F.lit(s.lower()) for s in p.SENIOR_TITLES])
+    return table(spark, d, "people").filter("email IS NOT NULL").filter(F.array_contains(titles, F.lower("role"))).select("rec_id", "name")
+
+
+@query(r"""SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL""")
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The windowed aggregate of the streaming variant, over the events table as a batch."""
+    x = table(spark, d, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+    return x.select("event_type", F.col("w.start").alias("hour"), "n", "value")

@@ -42,9 +42,29 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: compressed, column-pruned lineage cut."""
+    """Write df to the shared folder and read it back: compressed, column-pruned lineage cut.
+
+    The files outlive lost executors; they are removed when the application ends, or earlier by discard().
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/orgextract-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a stored table that no later step reads."""
+    path = getattr(df, "_stored_at", None)
+    if path:
+        fs, at = _file_system(df.sparkSession, path)
+        fs.delete(at, True)
