@@ -10,13 +10,15 @@ HOT_SHARE = 2000
 LEAST_HOT = 1000
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """rows joined (inner or left) with a table of one row per key that carries the key's row count.
 
     Keys with more than 1/HOT_SHARE of the counted rows are broadcast, the others meet in a
-    shuffle in which none exceeds that share. Null keys find nothing.
+    shuffle in which none exceeds that share. Null keys find nothing. `total`, the sum of the
+    counts, spares a pass where the caller knows it.
     """
-    total = keyed.agg(F.sum(count)).first()[0] or 0
+    if total is None:
+        total = keyed.agg(F.sum(count)).first()[0] or 0
     limit = max(total // HOT_SHARE, LEAST_HOT)
     hot = F.broadcast(keyed.filter(F.col(count) > limit).drop(count).withColumn("_hot", F.lit(True)))
     cold = keyed.filter(F.col(count) <= limit).drop(count)
