@@ -28,15 +28,18 @@ from pyspark.sql import functions as F
 BROADCAST_SEEDS = 2_000_000
 SPAN, SLIPS = 12, 1
 
-_BLOCK = r"(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:nbsp|gt|lt|#160);"
-_INLINE = r"(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});"
+_BLOCK = r"(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});"
+_INLINE = r"(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]"
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words, letters and digits only, in order."""
+    """Lower-cased words in order: runs of letters and digits, apostrophes and hyphens within them dropped.
+
+    Other punctuation parts words, so two sentences without a space between stay two words.
+    """
     t = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _BLOCK, " "), _INLINE, "")
-    t = F.regexp_replace(F.lower(t), r"[^\p{L}\p{M}\p{N}\s–—/ ]+", "")
-    return F.filter(F.split(F.regexp_replace(t, r"[\s–—/ ]+", " "), " "), lambda w: w != "")
+    t = F.regexp_replace(F.lower(t), r"(?<=[\p{L}\p{M}\p{N}])['’‐‑-](?=[\p{L}\p{N}])", "")
+    return F.filter(F.split(F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}]+", " "), " "), lambda w: w != "")
 
 
 def seeds(df: DataFrame, key: str, text: str, n: int) -> DataFrame:

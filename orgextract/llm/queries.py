@@ -188,9 +188,9 @@ SELECT f AS first_entry_id, entry_id FROM (SELECT entry_id, min(entry_id) OVER (
 WITH words AS (
   SELECT kind, id, [w FOR w IN string_split(regexp_replace(regexp_replace(lower(
       regexp_replace(regexp_replace(coalesce(text, ''),
-        '(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:nbsp|gt|lt|#160);', ' ', 'g'),
-        '(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});', '', 'g')),
-      '[^\p{L}\p{M}\p{N}\s\x{2013}\x{2014}/\x{00A0}]+', '', 'g'), '[\s\x{2013}\x{2014}/\x{00A0}]+', ' ', 'g'), ' ') IF w <> ''] AS w
+        '(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});', ' ', 'g'),
+        '(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]', '', 'g')),
+      '([\p{L}\p{M}\p{N}])[''’‐‑-]([\p{L}\p{N}])', '\1\2', 'g'), '[^\p{L}\p{M}\p{N}]+', ' ', 'g'), ' ') IF w <> ''] AS w
   FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items)),
 spans AS (SELECT kind, id, w[p : p + 11] AS s FROM (SELECT kind, id, w, unnest(range(1, len(w) - 10)) AS p FROM words WHERE len(w) >= 12)),
 keys AS (SELECT DISTINCT kind, id, j, array_to_string(list_concat(s[1 : j - 1], ['*'], s[j + 1 : 12]), ' ') AS k
