@@ -14,7 +14,9 @@ from orgextract.functions import emails as e
 from orgextract.functions import jsonld
 from orgextract.functions import text as t
 from orgextract.functions import urls as u
+from orgextract.functions.entities import Tagger, entity_spans, pattern_tagger
 from orgextract.functions.html import ancestor_text, html_elements
+from orgextract.operators.nearest import in_window, nearest_span
 
 KEYS = ["page_id", "source_url"]
 RANK = {"network": 0, "json-ld": 1, "html": 2, "cfemail": 3, "html-context": 4, "leadership-mailto": 5, "click-here": 5, "leadership-structured": 5, "pdf-window": 6}
@@ -133,3 +135,61 @@ def site_config(pages: DataFrame, config: DataFrame) -> DataFrame:
     host = pages.select(u.netloc(F.col("source_url")).alias("_host")).distinct()
     best = host.join(F.broadcast(config), F.contains(F.col("_host"), F.col("key"))).groupBy("_host").agg(F.min_by(F.struct(*cols), "ord").alias("_c"))
     return pages.withColumn("_host", u.netloc(F.col("source_url"))).join(best.select("_host", "_c.*"), "_host", "left").drop("_host")
+
+
+def network_emails(responses: DataFrame) -> DataFrame:
+    """Addresses in text responses (page_id, source_url, body) of the page's own host, plain and encoded."""
+    body = responses.withColumnRenamed("body", "html")
+    plain = html_emails(body).withColumn("found_via", F.lit("network"))
+    coded = cf_emails(body).withColumn("found_via", F.lit("network-cfemail"))
+    return plain.unionByName(coded).withColumn("extractor_rank", F.lit(RANK["network"]))
+
+
+def text_people(pages: DataFrame, tagger: Tagger = pattern_tagger, reach: int = 300, tag: str = "text-spacy") -> DataFrame:
+    """X4 (X8 with a wider reach): each role in the text with the nearest person and the best address near it.
+
+    Roles, persons and addresses are span tables of the same document; both joins have the document
+    as key. Service roles are left out; a role without a person or address near it stays, with ''.
+    """
+    txt = pages.withColumn("_txt", t.strip_tags(F.coalesce("html", F.lit("")))).filter(F.trim("_txt") != "").select(*KEYS, "_txt")
+    roles = t.spans(txt, ["page_id"], "_txt", p.ROLES_A, 1).select("page_id", F.col("start").alias("pos"), "ord", F.col("match").alias("role"))
+    roles = roles.filter(~t.is_service_role(F.col("role")))
+    people = entity_spans(txt, "page_id", "_txt", tagger).filter("label = 'PERSON'").drop("label")
+    named = nearest_span(roles, people, "page_id", reach)
+    mails = t.spans(txt, ["page_id"], "_txt", p.EMAIL).select("page_id", "start", F.col("match").alias("text"))
+    near = in_window(named.select("page_id", "pos"), mails, "page_id", reach)
+    near = near.groupBy("page_id", "pos").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_text"))).alias("_m"))  # one window
+    x = named.join(near, ["page_id", "pos"], "left").join(txt.select(*KEYS), "page_id")
+    cands = F.coalesce(F.transform("_m", lambda m: m["span_text"]), F.array().cast("array<string>"))
+    return _out(x, tag, role=F.col("role"), name=F.col("nearest"), email=e.best_email(cands, F.col("nearest")), ord=F.col("ord"))
+
+
+def structured_or_text_people(pages: DataFrame, tagger: Tagger = pattern_tagger) -> DataFrame:
+    """Pages without a structured block are read with X4 and a reach of 400."""
+    strict = structured_people(pages)
+    rest = pages.join(strict.select("page_id").distinct(), "page_id", "left_anti")
+    return strict.unionByName(text_people(rest, tagger, 400))
+
+
+def pdf_people(texts: DataFrame, keep_pages: int = 3) -> DataFrame:
+    """Texts (page_id, source_url, texts array) joined, each address with role and name around it."""
+    joined = texts.select(*KEYS, F.array_join(F.transform(F.slice("texts", 1, keep_pages), lambda x: t.truncated(x)), "\n").alias("html"))
+    plain = e.deobfuscate(F.col("html"), "C")
+    return context_people(joined.withColumn("html", plain)).withColumn("found_via", F.lit("pdf-window")).withColumn("extractor_rank", F.lit(RANK["pdf-window"]))
+
+
+def salvage_emails(pages: DataFrame) -> DataFrame:
+    """Addresses of pages whose load failed (status = 'failed')."""
+    return html_emails(pages.filter("status = 'failed'")).withColumn("found_via", F.lit("html-after-fail"))
+
+
+def dispatch(pages: DataFrame, by_host: dict[str, list[str]]) -> DataFrame:
+    """JN7, X15: extractors registered for a host root run on that host's pages only."""
+    host = u.host_root(F.col("source_url"))
+    out = None
+    for key, names in sorted(by_host.items()):
+        x = extract(pages.filter(host == key), names)
+        out = x if out is None else out.unionByName(x)
+    if out is None:
+        raise ValueError("no host is registered")
+    return out

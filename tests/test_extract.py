@@ -35,3 +35,31 @@ def test_look_behind(spark):
     df = spark.createDataFrame([(1, "", "President & CEO Ann Leeds: ann@x.org")], "page_id int, source_url string, html string")
     r = extract.look_behind_people(df).first()
     assert (r.role, r.email) == ("President & CEO", "ann@x.org")
+
+
+def test_text_people(spark):
+    text = "<p>CEO Ann Leeds, ann@x.org</p>" + "y " * 400 + "<p>Treasurer</p>" + "z " * 400 + "Loan Officer and Branch Manager Bo Li"
+    df = spark.createDataFrame([(1, "u", text), (2, "u", None)], "page_id int, source_url string, html string")
+    got = {(r.role, r.name, r.email) for r in extract.text_people(df).collect()}
+    assert any(g[0] == "CEO" and "Ann Leeds" in g[1] and g[2] == "ann@x.org" for g in got)
+    assert ("Treasurer", "Treasurer", "") in got or ("Treasurer", "", "") in got
+    assert extract.structured_or_text_people(df).filter("role = 'CEO'").count() >= 1
+
+
+def test_other_sources(spark):
+    pdf = spark.createDataFrame([(1, "u", ["Treasurer Max Moe max (at) x.org", None]), (2, "u", [])], "page_id int, source_url string, texts array<string>")
+    assert {(r.email, r.role, r.found_via) for r in extract.pdf_people(pdf).collect()} == {("max@x.org", "Treasurer", "pdf-window")}
+    resp = spark.createDataFrame([(1, "u", 'a@x.org <i data-cfemail="5a3b34341a392f7435283d">')], "page_id int, source_url string, body string")
+    assert {(r.email, r.found_via) for r in extract.network_emails(resp).collect()} == {("a@x.org", "network"), ("ann@cu.org", "network-cfemail")}
+    failed = spark.createDataFrame([(1, "u", "a@x.org", "failed"), (2, "u", "b@x.org", "ok")], "page_id int, source_url string, html string, status string")
+    assert [r.email for r in extract.salvage_emails(failed).collect()] == ["a@x.org"]
+    assert extract.dispatch(pages(spark), {"x.org": ["html"], "y.org": ["html"]}).count() == 2
+
+
+def test_progress_lines(tmp_path):
+    import json
+
+    from orgextract.streaming.progress import log_event
+
+    log_event(str(tmp_path / "p"), "seen", n=1)
+    assert json.loads((tmp_path / "p").read_text())["n"] == 1
