@@ -178,12 +178,56 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_containers": p8_containers, "p9_found": p9_found, "p10_found": p10_found}
 
+_BLANKS = r"[\s\x{00A0}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
+_SQL_STRIP = "regexp_replace({0}, '^" + _BLANKS.replace("{", "{{").replace("}", "}}") + "|" + _BLANKS.replace("{", "{{").replace("}", "}}") + "$', '', 'g')"
+_SQL_SQUASH = "regexp_replace(translate(lower({0}), 'áàâäãåéèêëíìîïóòôöõúùûüñçý', 'aaaaaaeeeeiiiiooooouuuuncy'), '[^a-z]', '', 'g')"
+
 ORACLES = {
     "p2_found": r"""
 WITH k AS (
   SELECT entry_id, list_sort([regexp_replace(lower(nfc_normalize(coalesce(v, ''))), '[^\p{L}\p{N}]+', '', 'g') for v in [email, role, name]]) AS k
   FROM leadership_entries)
 SELECT f AS first_entry_id, entry_id FROM (SELECT entry_id, min(entry_id) OVER (PARTITION BY k) AS f FROM k) WHERE entry_id > f""",
+    "p6_found": r"""
+WITH p AS (
+  SELECT rec_id, lower(w(coalesce(email, ''))) AS k, w(coalesce(name, '')) AS name, w(coalesce(role, '')) AS role,
+         CASE WHEN lower(coalesce(found_via, '')) IN ('onclick', 'html-context', 'network', 'pdf-ocr-context') OR confidence < 0.65 THEN 1 ELSE 2 END AS trust,
+         coalesce(seen_at, TIMESTAMPTZ '1900-01-01 00:00:00+00') AS seen
+  FROM people WHERE w(coalesce(email, '')) <> ''),
+bad AS (SELECT ['email', 'e-mail', 'mail', 'st', 'street', 'hours', 'support', 'customer', 'service', 'info', 'contact', 'us', 'contact us', 'department', 'n/a', 'staff', 'team', 'our team'] AS b),
+f AS (SELECT *, sq(split_part(k, '@', 1)) AS l, sq(regexp_extract(name, '^(\S+)', 1)) AS a, sq(regexp_extract(name, '(\S+)$', 1)) AS z FROM p),
+n AS (
+  SELECT k, rec_id, seen, trust, name AS v,
+    CASE WHEN name = '' OR list_contains(b, lower(name)) THEN 0
+         WHEN len(regexp_extract_all(name, '\p{L}[\p{L}\p{M}''’-]+')) < 2 THEN 1
+         WHEN regexp_matches(name, '^\p{L}\.?\s|\s\p{L}\.?$') THEN 2
+         WHEN regexp_matches(name, '[^\p{L}\p{M}\p{N}\s.''’-]|^\p{L}{2,4}\. |^\p{Lu}{3,} |\d') THEN 3 ELSE 4 END AS c,
+    (contains(l, a) OR l[1] = a[1])::INT + 2 * contains(l, z)::INT AS e
+  FROM f, bad),
+nc AS (SELECT k, c, trust, e, count(*) AS cnt, max(struct_pack(seen := seen, rec_id := rec_id, v := v)) AS top FROM n WHERE c > 0 GROUP BY ALL),
+sky AS (SELECT * FROM nc x WHERE NOT EXISTS (SELECT 1 FROM nc y WHERE y.k = x.k AND y.c >= x.c AND y.trust >= x.trust AND y.top.seen >= x.top.seen
+        AND (y.c > x.c OR y.trust > x.trust OR y.top.seen > x.top.seen))),
+names AS (SELECT k, arg_max(top.v, struct_pack(a := (c >= 3)::INT, b := trust, c := c, d := cnt, e := top.seen, f := top.rec_id)) AS best_name FROM sky GROUP BY k),
+r AS (SELECT k, role AS v, trust, seen, rec_id, (t.c IS NOT NULL) AS full_ FROM p LEFT JOIN (SELECT DISTINCT lower(trim(canonical_role)) AS c FROM role_reference) t ON lower(role) = t.c, bad
+      WHERE role <> '' AND NOT list_contains(b, lower(role))),
+tf AS (SELECT * FROM r WHERE full_ AND trust = 2), lf AS (SELECT * FROM r WHERE full_ AND trust = 1),
+latest AS (SELECT k, arg_max(v, struct_pack(s := seen, i := rec_id)) AS v, max(seen) AS at FROM tf GROUP BY k),
+longer AS (SELECT tf.k, arg_max(tf.v, struct_pack(s := seen, i := rec_id)) AS v FROM tf JOIN latest l USING (k) WHERE tf.v LIKE '% ' || l.v OR tf.v LIKE l.v || ' of %' GROUP BY tf.k),
+frag AS (SELECT r.k, arg_max(r.v, struct_pack(s := r.seen, i := r.rec_id)) AS v FROM r LEFT JOIN latest l USING (k) WHERE NOT full_ AND trust = 2 AND (l.at IS NULL OR r.seen > l.at) GROUP BY r.k),
+ft AS (SELECT tf.k, arg_max(tf.v, struct_pack(s := seen, i := rec_id)) AS v FROM tf JOIN frag g USING (k) WHERE tf.v LIKE '% ' || g.v OR tf.v LIKE g.v || ' of %' GROUP BY tf.k),
+fl AS (SELECT lf.k, arg_max(lf.v, struct_pack(s := seen, i := rec_id)) AS v FROM lf JOIN frag g USING (k) WHERE lf.v LIKE '% ' || g.v OR lf.v LIKE g.v || ' of %' GROUP BY lf.k),
+ll AS (SELECT k, arg_max(v, struct_pack(s := seen, i := rec_id)) AS v FROM lf GROUP BY k),
+la AS (SELECT k, arg_max(v, struct_pack(s := seen, i := rec_id)) AS v FROM r GROUP BY k),
+g AS (SELECT k FROM p GROUP BY k HAVING count(*) > 1)
+SELECT g.k AS email_key, names.best_name,
+  coalesce(CASE WHEN frag.v IS NOT NULL AND NOT coalesce(coalesce(longer.v, latest.v) LIKE '% ' || frag.v OR coalesce(longer.v, latest.v) LIKE frag.v || ' of %', true) THEN coalesce(ft.v, fl.v) END,
+           longer.v, latest.v, fl.v, ll.v, frag.v, la.v) AS best_role
+FROM g LEFT JOIN names USING (k) LEFT JOIN latest USING (k) LEFT JOIN longer USING (k) LEFT JOIN frag USING (k) LEFT JOIN ft USING (k) LEFT JOIN fl USING (k)
+LEFT JOIN ll USING (k) LEFT JOIN la USING (k)"""
+    .replace("w(coalesce(email, ''))", _SQL_STRIP.format("coalesce(email, '')")).replace("w(coalesce(name, ''))", _SQL_STRIP.format("coalesce(name, '')"))
+    .replace("w(coalesce(role, ''))", _SQL_STRIP.format("coalesce(role, '')"))
+    .replace("sq(split_part(k, '@', 1))", _SQL_SQUASH.format("split_part(k, '@', 1)")).replace("sq(regexp_extract(name, '^(\\S+)', 1))", _SQL_SQUASH.format("regexp_extract(name, '^(\\S+)', 1)"))
+    .replace("sq(regexp_extract(name, '(\\S+)$', 1))", _SQL_SQUASH.format("regexp_extract(name, '(\\S+)$', 1)")),
     "p9_found": r"""
 WITH words AS (
   SELECT kind, id, [w FOR w IN string_split(regexp_replace(regexp_replace(lower(
