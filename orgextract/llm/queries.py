@@ -15,7 +15,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = table(spark, sf_dir, "leadership_entries").select("entry_id", "email", "role", "name", "loaded_at")
     rows = stored(ledger.keyed(entries, "entry_id", ["email", "role", "name"], ["loaded_at"]), "keyed")
     last = rows.agg(F.max("loaded_at")).first()[0]
-    late = F.coalesce(F.col("loaded_at") > F.lit(last) - F.expr("INTERVAL 30 DAYS"), F.lit(False))
+    late = F.coalesce(F.col("loaded_at") > F.lit(last).cast("timestamp") - F.expr("INTERVAL 30 DAYS"), F.lit(False))
     book = ledger.merge(None, rows.filter(~late))
     book = ledger.merge(book, rows.filter(late))
     return ledger.copies(rows, book).select(F.col("first_id").alias("first_entry_id"), F.col("_id").alias("entry_id"))
