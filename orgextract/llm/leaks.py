@@ -6,8 +6,11 @@ are complete seeds: no leak can be missed, none needs to be dropped for being fr
 in practice a six-word run of a test item is rare in the corpus. Seeds are joined by hash,
 item side broadcast if its counted size is within a bound, else by a shuffle. Only documents
 with a seed travel on, with the diagonals (word offset between document and item) on which
-seeds lie; a banded Smith-Waterman alignment along these gives the score of edited copies and
-an exact check of the windows decides.
+seeds lie. A banded Smith-Waterman alignment along these accepts a pair by its score, gaps
+allowed: `find_copies` gives these, edited copies with inserted, dropped, split or joined words
+included, as long as one run of a seed's length is left whole. `find_leaks` narrows them by an
+exact check of the windows on the accepted bands. It loses nothing: a window of `span` words
+with `slips` replaced scores 2 * (span - slips) - slips on its own diagonal, which is the least score.
 
 Defined results
 * null or empty texts have no words; texts shorter than the span never leak nor are leaked;
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 #: Seed rows of the item side that may be broadcast.
 BROADCAST_SEEDS = 2_000_000
 SPAN, SLIPS = 12, 1
+#: Diagonals an alignment may leave its seeds by, to either side.
+BAND = 4
 
 _BLOCK = r"(?i)</?(?:p|br|blockquote|div|ul|ol|li|h[1-6]|hr|table|tr|td|th|pre)\b[^<>]*>|\[/?(?:quote|list|code)\b[^\[\]]*\]|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});"
 _INLINE = r"(?i)</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|color|size|font|center)\b[^\[\]]*\]"
@@ -60,9 +65,8 @@ def alignment(doc: np.ndarray, item: np.ndarray, diagonal: int, band: int) -> in
         if a < b:
             step = np.where(part[a:b] == w, 2, -1)
             cell = np.maximum(np.maximum(prev[a:b] + step, prev[a + 1 : b + 1] - 2), 0)
-            for j in range(1, b - a):
-                if cell[j - 1] - 2 > cell[j]:
-                    cell[j] = cell[j - 1] - 2
+            along = 2 * np.arange(b - a)
+            cell = np.maximum.accumulate(cell + along) - along  # gaps within the row
             cur[a + 1 : b + 1] = cell
             best = max(best, int(cell.max()))
         prev = cur
@@ -81,9 +85,23 @@ def longest_window(doc: np.ndarray, item: np.ndarray, diagonal: int, slips: int)
     return int((wrong[slips + 1 :] - wrong[: -(slips + 1)] - 1).max())
 
 
-def find_leaks(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS) -> DataFrame:
-    """doc_id, item_id, longest, score for each document and item that share a window."""
-    n = span // (slips + 1)
+def bands(diagonals: np.ndarray, band: int = BAND) -> list[tuple[int, int, list[int]]]:
+    """(middle, reach, diagonals) of the bands around seed diagonals; overlapping bands are one."""
+    groups: list[list[int]] = []
+    for g in sorted(int(x) for x in diagonals):
+        if groups and g - groups[-1][-1] <= 2 * band:
+            groups[-1].append(g)
+        else:
+            groups.append([g])
+    return [((g[0] + g[-1]) // 2, band + (g[-1] - g[0] + 1) // 2, g) for g in groups]
+
+
+def find_copies(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS) -> DataFrame:
+    """doc_id, item_id, longest, score for each document and item whose alignment scores as much as a window does.
+
+    longest: the words of the longest run without a gap and with at most `slips` other words.
+    """
+    n, least = span // (slips + 1), 2 * (span - slips) - slips
     d = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("_text"))
     i = items.select(F.col(item_id).alias("item"), F.col(text).alias("_text"))
     item_seeds = seeds(i, "item", "_text", n).select("item", F.col("pos").alias("ipos"), "seed")
@@ -103,10 +121,16 @@ def find_leaks(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, tex
         for b in batches:
             rows = []
             for doc, item, diagonals, dw, iw in b.itertuples(index=False):
-                best = max((longest_window(dw, iw, int(g), slips), int(g)) for g in diagonals)
-                if best[0] >= span:
-                    rows.append((doc, item, best[0], alignment(dw, iw, best[1], 4)))
+                scored = [(alignment(dw, iw, middle, reach), on) for middle, reach, on in bands(diagonals)]
+                accepted = [g for points, on in scored if points >= least for g in on]
+                if accepted:
+                    rows.append((doc, item, max(longest_window(dw, iw, g, slips) for g in accepted), max(scored)[0]))
             yield pd.DataFrame(rows, columns=["doc", "item", "longest", "score"])
 
     out = candidates.mapInPandas(score, "doc bigint, item bigint, longest int, score int")
     return out.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "longest", "score")
+
+
+def find_leaks(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS) -> DataFrame:
+    """The copies in which a window of `span` words stands with at most `slips` of them replaced."""
+    return find_copies(docs, doc_id, items, item_id, text, span, slips).filter(F.col("longest") >= span)

@@ -74,6 +74,20 @@ def test_leaks_against_brute_force(spark):
     assert leaks.find_leaks(D.filter("false"), "doc_id", I, "item_id").count() == 0
 
 
+def test_alignment_accepts_edited_copies(spark):
+    item = [f"w{i}" for i in range(40)]
+    dropped = [w for i, w in enumerate(item) if i % 10 != 9]
+    inserted = [x for i, w in enumerate(item) for x in ([w, "zz"] if i % 10 == 9 else [w])]
+    split = ["y"] * 9 + item[:6] + ["w", "6"] + item[7:13] + ["y"] * 9
+    docs = [item, dropped, inserted, split, item[:6] + ["y"] * 20 + item[20:26], item[3:9]]
+    D = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    I = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")  # noqa: E741
+    got = {x.doc_id: x for x in leaks.find_copies(D, "doc_id", I, "item_id").collect()}
+    assert set(got) == {0, 1, 2, 3} and got[0].score == 80 and got[2].score == 74
+    assert all(got[i].longest < 12 for i in (1, 2, 3))
+    assert [x.doc_id for x in leaks.find_leaks(D, "doc_id", I, "item_id").collect()] == [0]
+
+
 def test_leak_words(spark):
     df = spark.createDataFrame([('> The <b>old</b>&nbsp;*mill*,\n> &quot;near&quot; [url=https://x]Bo[/url]&amp;co',)], "t string")
     assert df.select(leaks.words(F.col("t")).alias("w")).first().w == ["the", "old", "mill", "near", "bo", "co"]
