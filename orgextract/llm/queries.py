@@ -90,9 +90,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, final = squashed(F.regexp_extract("name", r"^(\S+)", 1)), squashed(F.regexp_extract("name", r"(\S+)$", 1))
     agrees = (local.contains(first) | (F.substring(local, 1, 1) == F.substring(first, 1, 1))).cast("int") + local.contains(final).cast("int") * 2
     named = survivors.cells(people, "email_key", complete_name, trust, agrees, seen, "rec_id", F.col("name"))
-    named = survivors.layers(named, "cells", 3)
+    # The fullest name in the best source is dominated by none, so its first layer always fills this field.
+    named = survivors.layers(named, "cells", 1)
     best_name = survivors.from_layers(
-        named, 3, lambda x: x["complete"] > 0, lambda x: [(x["complete"] >= 3).cast("int"), x["trust"], x["complete"], x["n"], x["seen"], x["rid"]]
+        named, 1, lambda x: x["complete"] > 0, lambda x: [(x["complete"] >= 3).cast("int"), x["trust"], x["complete"], x["n"], x["seen"], x["rid"]]
     )
     names = named.select("email_key", best_name.alias("best_name"))
 
@@ -101,32 +102,32 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     titled = people.withColumn("_role", F.lower("role")).join(F.broadcast(ref), "_role", "left")
     complete_role = F.when((F.col("role") == "") | F.lower("role").isin(NO_NAMES), 0).when(F.col("role_ref_id").isNull(), 1).otherwise(2)
     held = survivors.cells(titled, "email_key", complete_role, trust, F.coalesce("role_ref_id", F.lit(-1)), seen, "rec_id", F.col("role"))
-    roles = held.select("email_key", _position("cells").alias("best_role"))
+    held = held.select("email_key", survivors.ranked(F.col("cells")).alias("ranked"))
+    roles = held.select("email_key", _position("ranked").alias("best_role"))
 
     groups = people.groupBy("email_key").count().filter("count > 1").select("email_key")
     return groups.join(names, "email_key", "left").join(roles, "email_key", "left")
 
 
-def _position(cells: str):
-    """The full wording of the position held last: the latest trusted full wording, unless it is only
-    the tail (or the part before "of") of a longer one of the same person; a later trusted fragment
-    moves the choice to a less trusted full wording that ends in it."""
-    c = F.col(cells)
+def _position(ranked: str):
+    """The full wording of the position held last, from cells with their dominance layers.
+
+    Cells of equal completeness and trust lie in layers by recency, so the policy takes the uppermost
+    layer with a usable cell. The first layer gives the latest trusted full wording and a trusted
+    fragment later than it. A wording that is only the tail (or the part before "of") of a longer one
+    is filled from the layers below, as is a fragment: by a trusted, else a less trusted full wording.
+    """
+    c = F.col(ranked)
     full = lambda t: F.filter(c, lambda x: (x["complete"] == 2) & (x["trust"] == t))
-    order = lambda x: [x["seen"], x["rid"]]
     part_of = lambda part, whole: whole.endswith(F.concat(F.lit(" "), part)) | whole.startswith(F.concat(part, F.lit(" of ")))
-    last = lambda arr: survivors.pick(arr, order)
+    upper = lambda arr: survivors.pick(arr, lambda x: [-x["layer"], x["rid"]])
+    top = lambda complete: upper(F.filter(c, lambda x: (x["layer"] == 1) & (x["complete"] == complete) & (x["trust"] == 2)))
     trusted, loose = full(2), full(1)
-    latest = last(trusted)
-    longer = last(F.filter(trusted, lambda x: part_of(latest, x["value"])))
-    when = F.array_max(F.transform(trusted, lambda x: x["seen"]))
-    fragments = F.filter(c, lambda x: (x["complete"] == 1) & (x["trust"] == 2) & (when.isNull() | (x["seen"] > when)))
-    fragment = last(fragments)
-    by_fragment = F.when(
-        fragment.isNotNull() & ~part_of(fragment, F.coalesce(longer, latest)),
-        F.coalesce(last(F.filter(trusted, lambda x: part_of(fragment, x["value"]))), last(F.filter(loose, lambda x: part_of(fragment, x["value"])))),
-    )
-    return F.coalesce(by_fragment, longer, latest, last(F.filter(loose, lambda x: fragment.isNotNull() & part_of(fragment, x["value"]))), last(loose), fragment, last(c))
+    latest, fragment = top(2), top(1)
+    longer = upper(F.filter(trusted, lambda x: part_of(latest, x["value"])))
+    whole = lambda arr: upper(F.filter(arr, lambda x: part_of(fragment, x["value"])))
+    by_fragment = F.when(~part_of(fragment, F.coalesce(longer, latest)), F.coalesce(whole(trusted), whole(loose)))
+    return F.coalesce(by_fragment, longer, latest, whole(loose), upper(loose), fragment, upper(c))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

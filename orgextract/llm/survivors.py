@@ -53,6 +53,23 @@ def layers(df: DataFrame, column: str, depth: int) -> DataFrame:
     return df
 
 
+def ranked(c: Column) -> Column:
+    """Each cell with the number of its dominance layer, from 1, however many layers there are.
+
+    A cell lies one layer below the deepest cell that dominates it. Sorted by their dimensions,
+    cells come after all that dominate them, so one fold numbers them.
+    """
+    kept = lambda x: [x[k].alias(k) for k in ("complete", "trust", "seen", "rid", "n", "value")]
+    ordered = F.reverse(F.array_sort(F.transform(c, lambda x: F.struct(*kept(x)))))
+    none = F.filter(F.transform(c, lambda x: F.struct(F.lit(1).alias("layer"), *kept(x))), lambda x: F.lit(False))
+
+    def add(done: Column, x: Column) -> Column:
+        above = F.array_max(F.transform(F.filter(done, lambda a: _dominates(a, x)), lambda a: a["layer"]))
+        return F.concat(done, F.array(F.struct((F.coalesce(above, F.lit(0)) + 1).alias("layer"), *kept(x))))
+
+    return F.aggregate(ordered, none, add)
+
+
 def pick(c: Column, policy: Callable[[Column], list[Column]]) -> Column:
     """The value of the cell that is greatest under the policy's order."""
     ranked = F.transform(c, lambda x: F.struct(*[p.alias(f"p{i}") for i, p in enumerate(policy(x))], x["value"].alias("value")))

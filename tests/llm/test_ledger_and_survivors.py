@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,45 @@ def test_layers_and_fill(spark):
     assert x.select(best.alias("b")).first().b == "old full"
 
 
+def test_ranked_peels_every_layer(spark):
+    r = random.Random(6)
+    t = [dt.datetime(2025, 1, 1) + dt.timedelta(days=i) for i in range(9)]
+    data = [(g, r.randint(1, 2), r.randint(1, 2), r.randrange(30), r.choice(t), i, f"v{i}") for i, g in enumerate(r.choice("abcd") for _ in range(200))]
+    df = spark.createDataFrame(data, "k string, c int, t int, e int, s timestamp, rid int, v string")
+    x = survivors.cells(df, "k", F.col("c"), F.col("t"), F.col("e"), F.col("s"), "rid", F.col("v"))
+    for row in x.select("cells", survivors.ranked(F.col("cells")).alias("ranked")).collect():
+        dims = {c.rid: (c.complete, c.trust, c.seen) for c in row.cells}
+        beats = lambda a, b: dims[a] != dims[b] and all(p >= q for p, q in zip(dims[a], dims[b]))
+        want, rest, layer = {}, set(dims), 0
+        while rest:
+            layer += 1
+            first = {b for b in rest if not any(beats(a, b) for a in rest)}
+            want |= {b: layer for b in first}
+            rest -= first
+        assert {c.rid: c.layer for c in row.ranked} == want and layer > 3
+
+
+def test_position_is_filled_from_lower_layers(spark):
+    from orgextract.llm.queries import _position
+
+    t = [dt.datetime(2025, 1, d) for d in range(1, 10)]
+    groups = {
+        "chain": ([(2, 2, 9, "Officer"), (2, 2, 8, "Teller"), (2, 2, 7, "Clerk"), (2, 2, 6, "Auditor"), (2, 2, 5, "Loan Officer")], "Loan Officer"),
+        "fragment": ([(1, 2, 9, "Chair"), (2, 2, 8, "Clerk"), (2, 1, 3, "Vice Chair"), (2, 1, 2, "Board Chair")], "Vice Chair"),
+        "older part": ([(2, 2, 8, "Clerk"), (1, 2, 7, "Chair"), (2, 1, 9, "Vice Chair")], "Clerk"),
+        "loose": ([(1, 1, 9, "x"), (2, 1, 3, "Clerk"), (2, 1, 4, "Teller")], "Teller"),
+        "only loose part": ([(1, 1, 9, "x")], "x"),
+    }
+    data = [(g, c, q, t[s - 1], i, v) for g, (rows, _) in groups.items() for i, (c, q, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, c int, t int, s timestamp, rid int, v string")
+    x = survivors.cells(df, "k", F.col("c"), F.col("t"), F.col("v"), F.col("s"), "rid", F.col("v"))
+    x = x.select("k", survivors.ranked(F.col("cells")).alias("ranked"))
+    assert {r.k: r.p for r in x.select("k", _position("ranked").alias("p")).collect()} == {g: want for g, (_, want) in groups.items()}
+    # the layers decide: with the layers turned over, another wording comes first
+    turned = F.transform("ranked", lambda c: c.withField("layer", F.when(c["value"] == "Clerk", 9).otherwise(c["layer"])))
+    assert x.filter("k = 'older part'").select(turned.alias("t")).select(_position("t")).first()[0] == "Vice Chair"
+
+
 def test_p6_small(spark, tmp_path):
     from orgextract.llm.queries import p6_found
 
