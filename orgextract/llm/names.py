@@ -4,10 +4,12 @@ Sightings (spelling, organisation, e-mail) are reduced to distinct rows. An addr
 one person, so spellings under one address belong together. Spellings never seen with an
 address are tied to a person of the same organisation by their canonical key (nicknames
 expanded, titles, suffixes and middle initials dropped, parts in sorted order), by initials
-that fit one person only, or by a segment join: a key is cut into k+1 segments, so a key
+that fit one person only, or by a segment join; an initial whose own headline writes the
+name in full is read as that name. In the segment join a key is cut into k+1 segments, so a key
 within k edits shares at least one of them, found at a shifted place through an inverted
 index on (organisation, length, segment); a banded edit distance (JVM) verifies. What is
-left forms persons without an address around their most frequent key.
+left forms persons without an address, and initials that fit no addressed person are tied to
+the one of these they fit.
 
 Everything but the composition of decomposed characters is built-in SQL. No group is
 collected: every step is a keyed join or aggregation, and an organisation with a third of
@@ -113,9 +115,12 @@ def domain_organisation(host: Column) -> Column:
 
 
 def with_keys(df: DataFrame) -> DataFrame:
-    """Adds key (sorted full parts), short (part cut to letters) and rest for initials; drops what is no name."""
+    """Adds key (sorted full parts), short (part cut to letters) and rest for initials; drops what is no name.
+
+    Where `told` has the name in full, it is read instead of the spelling.
+    """
     nick = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in kv])
-    parts = F.filter(F.split(_folded(F.col("spelling")), " "), lambda t: ~t.isin(ADDRESS))
+    parts = F.filter(F.split(_folded(F.coalesce("told", "spelling")), " "), lambda t: ~t.isin(ADDRESS))
     # `Katherine "Kathy" Genir`: a nickname beside its own full form is one part
     long_parts = F.transform(F.filter("_t", lambda t: F.length(t) > 1), lambda t: F.coalesce(F.try_element_at(nick, t), t))
     x = df.withColumn("_t", parts).withColumn("_names", F.array_distinct(long_parts))
@@ -135,6 +140,18 @@ def with_keys(df: DataFrame) -> DataFrame:
     return x.select(*df.columns, F.explode(F.when(named, F.array(keys))).alias("_k")).select(*df.columns, "_k.*")
 
 
+def told_in_full(spelling: Column, headline: Column) -> Column:
+    """The name a headline (as a spelling) writes out, for a spelling with one initial and a rest; else null."""
+    lead, tail = spelling.rlike(r"^\p{L} \p{L}{2}"), spelling.rlike(r"\p{L}{2} \p{L}$")
+    initial = F.when(lead, F.substring(spelling, 1, 1)).when(tail, F.substring(spelling, -1, 1))
+    rest = F.regexp_replace(F.regexp_replace(spelling, r"^\p{L} | \p{L}$", ""), r"(?<= )\p{L} ", "")
+    middle = F.lit(r" (?:\p{L} )?")
+    given_first = F.call_function("regexp_extract", headline, F.concat(F.lit(r"(?:^| )("), initial, F.lit(r"\p{L}+"), middle, rest, F.lit(r")(?: |$)")), F.lit(1))
+    rest_first = F.call_function("regexp_extract", headline, F.concat(F.lit(r"(?:^| )("), rest, middle, initial, F.lit(r"\p{L}+)(?: |$)")), F.lit(1))
+    rest_first = F.when(tail, rest_first)
+    return F.when(lead | tail, F.coalesce(F.nullif(given_first, F.lit("")), F.nullif(rest_first, F.lit(""))))
+
+
 EDITS = 2
 #: Keys shorter than this may differ in one letter only.
 LONG = 8
@@ -179,7 +196,9 @@ def alike(asked: DataFrame, known: DataFrame, k: int = EDITS) -> DataFrame:
 
 
 def persons(sightings: DataFrame) -> DataFrame:
-    """spelling, person: distinct. sightings: (spelling, org, email), org and email nullable."""
+    """spelling, person: distinct. sightings: (spelling, org, email) and, if at hand, told; nullable but for spelling."""
+    if "told" not in sightings.columns:
+        sightings = sightings.withColumn("told", F.lit(None).cast("string"))
     base = with_keys(sightings.filter("spelling <> ''").distinct())
     base = stored(base, "names")
     addressed = base.filter("email IS NOT NULL")
@@ -187,20 +206,21 @@ def persons(sightings: DataFrame) -> DataFrame:
     first = addressed.select("spelling", F.col("email").alias("person"))
 
     seen = addressed.filter("org IS NOT NULL").select("org", "spelling").distinct()
-    left = loose.join(seen, ["org", "spelling"], "left_anti")
+    left = loose.filter("told IS NULL").join(seen, ["org", "spelling"], "left_anti").unionByName(loose.filter("told IS NOT NULL").distinct()).drop("told")
 
     # one address per (org, key), or none
     sole = lambda d, by: d.groupBy("org", by).agg(F.min("email").alias("email"), F.max("email").alias("_m")).filter("email = _m").drop("_m")
     whole = addressed.filter("whole AND org IS NOT NULL")
     by_key = stored(whole.groupBy("org", "key").agg(F.min("email").alias("email"), F.max("email").alias("_m")), "keys")
-    shorts = sole(whole.select("org", "email", F.explode(F.array_distinct("shorts")).alias("short")), "short")
+    in_short = stored(whole.select("org", "email", F.explode(F.array_distinct("shorts")).alias("short")).distinct(), "shorts")
+    shorts = sole(in_short, "short")
 
     asked = stored(left.join(by_key.select("org", "key", "email", "_m"), ["org", "key"], "left"), "loose")
     exact = asked.filter("email = _m").select("spelling", F.col("email").alias("person"))
     open_ = asked.filter("email IS NULL")
     brief = open_.filter("short IS NOT NULL").join(shorts.select("org", "short", F.col("email").alias("_e")), ["org", "short"])
-    brief = stored(brief.select("org", "spelling", F.col("_e").alias("person")), "brief")
-    rest = open_.filter("whole").join(brief.select("org", "spelling"), ["org", "spelling"], "left_anti").select("org", "spelling", "key")
+    brief = stored(brief.select("org", "spelling", "key", F.col("_e").alias("person")), "brief")
+    rest = open_.filter("whole").join(brief.select("org", "spelling", "key"), ["org", "spelling", "key"], "left_anti").select("org", "spelling", "key", "short", "shorts")
     rest_keys = rest.groupBy("org", "key").agg(F.count("*").alias("n"))
     near = alike(rest_keys, by_key.filter("email = _m").select("org", "key"))
     best = near.join(by_key.select("org", F.col("key").alias("other"), "email"), ["org", "other"])
@@ -209,15 +229,24 @@ def persons(sightings: DataFrame) -> DataFrame:
     fuzzy = tied.filter("person IS NOT NULL").select("spelling", "person")
 
     # persons without an address: keys gather around their most frequent neighbour
-    alone = tied.filter("person IS NULL").select("org", "spelling", "key")
+    alone = tied.filter("person IS NULL").select("org", "spelling", "key", "short", "shorts")
     counts = alone.groupBy("org", "key").agg(F.count("*").alias("n"))
     among = alike(counts, counts).join(counts.select("org", F.col("key").alias("other"), "n"), ["org", "other"])
     heads = among.groupBy("org", "key").agg(F.max(F.struct("n", "other")).alias("_h"))
     centre = counts.join(heads, ["org", "key"], "left").select(
         "org", "key", F.when(F.struct("n", "key") < F.col("_h"), F.col("_h.other")).otherwise(F.col("key")).alias("head")
     )
-    nameless = alone.join(centre, ["org", "key"]).select("spelling", F.concat("org", F.lit("/"), "head").alias("person"))
-    return first.unionByName(exact).unionByName(brief.select("spelling", "person")).unionByName(fuzzy).unionByName(nameless).distinct()
+    nameless = alone.join(centre, ["org", "key"]).select("org", "spelling", "short", "shorts", F.concat("org", F.lit("/"), "head").alias("person"))
+    nameless = stored(nameless, "nameless")
+    # open initials and cut names: a person without an address, if one only and no addressed one fits
+    fits = nameless.select("org", "person", F.explode(F.array_distinct("shorts")).alias("short")).distinct()
+    initials = open_.filter("NOT whole AND short IS NOT NULL").select("org", "spelling", "short", F.lit("").alias("own"))
+    cut = nameless.filter("short IS NOT NULL").select("org", "spelling", "short", F.col("person").alias("own"))
+    unfit = initials.unionByName(cut).join(in_short.select("org", "short").distinct(), ["org", "short"], "left_anti")
+    guessed = unfit.join(fits, ["org", "short"]).filter("person <> own").groupBy("org", "spelling", "short").agg(F.min("person").alias("person"), F.max("person").alias("_m"))
+    guessed = guessed.filter("person = _m").select("spelling", "person")
+    known = first.unionByName(exact).unionByName(brief.select("spelling", "person")).unionByName(fuzzy)
+    return known.unionByName(nameless.select("spelling", "person")).unionByName(guessed).distinct()
 
 
 def spelling_pairs(members: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         names.domain_organisation(F.substring_index(email, "@", -1)),
         names.domain_organisation(F.nullif(host, F.lit(""))),
     )
-    on_sites = entries.select(names.spelling(F.col("name")).alias("spelling"), site.alias("org"), email.alias("email"))
+    on_sites = entries.select(names.spelling(F.col("name")).alias("spelling"), site.alias("org"), email.alias("email"), F.lit(None).cast("string").alias("told"))
 
     # The organisation a headline writes out is taken where the packed field confirms it; only the
     # other rows need the packed field taken apart.
@@ -159,11 +159,15 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = listed.withColumn("_h", F.when(F.size("_o") > 1, headline).otherwise(""))
     named = F.filter("_o", lambda o: F.col("_h").contains(o))
     org = F.coalesce(F.get(named, F.lit(0)), F.get("_o", F.lit(0)), names.organisation(F.col("_phrase")))
-    listed = listed.select("items", org.alias("org"))
+    listed = listed.select("items", org.alias("org"), "Title")
     # outer, so that no filter on the array is inferred and pushed down to where it is computed again
-    in_feeds = listed.select(F.explode_outer("items").alias("item"), "org").filter("item IS NOT NULL").select(
-        names.spelling(F.col("item")).alias("spelling"), "org", F.lit(None).cast("string").alias("email")
+    in_feeds = listed.select(F.explode_outer("items").alias("item"), "org", "Title").filter("item IS NOT NULL").select(
+        names.spelling(F.col("item")).alias("spelling"), "org", F.lit(None).cast("string").alias("email"), "Title"
     )
+    # only a spelling with an initial looks into its headline
+    one_letter = F.col("spelling").rlike(r"^\p{L} | \p{L}$")
+    told = F.when(one_letter, names.told_in_full(F.col("spelling"), names.spelling(F.when(one_letter, F.col("Title")))))
+    in_feeds = in_feeds.withColumn("told", told).drop("Title")
     return names.spelling_pairs(names.persons(on_sites.unionByName(in_feeds)))
 
 

@@ -102,3 +102,23 @@ def test_persons(spark):
 def test_spelling(spark):
     df = spark.createDataFrame([("éva O’Neil​ ",), ("A\tB",), (None,)], "n string")
     assert [r.s for r in df.select(names.spelling(F.col("n")).alias("s")).collect()] == ["éva o neil", "a b", None]
+
+
+def test_initials_of_persons_without_address(spark):
+    rows = [
+        ("v fufeski", "gosegate", None, None), ("valerie fufeski", "gosegate", None, None), ("b lomax", "redoak", None, "bea lomax"), ("b lomax", "other", None, None),
+        ("bea lomax", "redoak", "bea@x.org", None), ("bob lomax", "redoak", "bob@x.org", None), ("c odu", "redoak", None, None), ("cora odu", "redoak", None, None), ("carl odu", "redoak", None, None),
+        ("d odu", "redoak", None, "delia odu"), ("delia odu", "redoak", None, None), ("dirk odu", "redoak", None, None), ("lomax b", "redoak", None, None),
+    ]
+    df = spark.createDataFrame(rows, "spelling string, org string, email string, told string")
+    got = {tuple(x) for x in names.spelling_pairs(names.persons(df)).collect()}
+    assert got == {("v fufeski", "valerie fufeski"), ("b lomax", "bea lomax"), ("d odu", "delia odu")}
+
+
+def test_told_in_full(spark):
+    cases = [
+        ("v fufeski", "gosegate cu names valerie fufeski teller", "valerie fufeski"), ("v fufeski", "valerie d fufeski named teller", "valerie d fufeski"), ("fufeski v", "valerie fufeski joins", "valerie fufeski"),
+        ("ann b", "cu hires ann bowen as cfo", "ann bowen"), ("v fufeski", "olga fufeski joins", None), ("v fufeski", None, None), ("ann bo", "ann bo joins", None),
+    ]
+    df = spark.createDataFrame(cases, "s string, h string, want string")
+    assert [r.t for r in df.select(names.told_in_full(F.col("s"), F.col("h")).alias("t")).collect()] == [w for _, _, w in cases]
