@@ -8,8 +8,8 @@ that fit one person only, or by a segment join; an initial whose own headline wr
 name in full is read as that name. In the segment join a key is cut into k+1 segments, so a key
 within k edits shares at least one of them, found at a shifted place through an inverted
 index on (organisation, length, segment); a banded edit distance (JVM) verifies. What is
-left forms persons without an address, and initials that fit no addressed person are tied to
-the one of these they fit.
+left forms persons without an address: the connected components of the verified links. Initials that fit no addressed person are tied to
+the one of these that they fit.
 
 Everything but the composition of decomposed characters is built-in SQL. No group is
 collected: every step is a keyed join or aggregation, and an organisation with a third of
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgextract.functions.unicode import nfc
+from orgextract.llm.components import components
 from orgextract.session import stored
 
 # Forms of address, name suffixes, words that make a text no name, and short names.
@@ -228,15 +229,19 @@ def persons(sightings: DataFrame) -> DataFrame:
     tied = stored(rest.join(best, ["org", "key"], "left"), "tied")
     fuzzy = tied.filter("person IS NOT NULL").select("spelling", "person")
 
-    # persons without an address: keys gather around their most frequent neighbour
+    # persons without an address: keys joined by verified links, carried on; a link to one addressed person ties them all
     alone = tied.filter("person IS NULL").select("org", "spelling", "key", "short", "shorts")
-    counts = alone.groupBy("org", "key").agg(F.count("*").alias("n"))
-    among = alike(counts, counts).join(counts.select("org", F.col("key").alias("other"), "n"), ["org", "other"])
-    heads = among.groupBy("org", "key").agg(F.max(F.struct("n", "other")).alias("_h"))
-    centre = counts.join(heads, ["org", "key"], "left").select(
-        "org", "key", F.when(F.struct("n", "key") < F.col("_h"), F.col("_h.other")).otherwise(F.col("key")).alias("head")
-    )
-    nameless = alone.join(centre, ["org", "key"]).select("org", "spelling", "short", "shorts", F.concat("org", F.lit("/"), "head").alias("person"))
+    counts = alone.select("org", "key").distinct()
+    tied_keys = best.select("org", F.col("key").alias("other"), F.col("person").alias("tied"))
+    node = lambda c: F.concat("org", F.lit("/"), c)
+    among = alike(counts, rest_keys).join(tied_keys, ["org", "other"], "left")
+    among = stored(among.select(node("key").alias("node"), node("other").alias("other"), "tied"), "links")
+    groups = components(among.filter("tied IS NULL"), "node", "other")
+    groups = counts.select("org", "key", node("key").alias("node")).join(groups, "node", "left").withColumn("head", F.coalesce("label", "node"))
+    groups = stored(groups.drop("label"), "groups")
+    reached = among.filter("tied IS NOT NULL").join(groups, "node").groupBy("head").agg(F.min("tied").alias("email"), F.max("tied").alias("_m"))
+    centre = groups.join(reached.filter("email = _m").drop("_m"), "head", "left").select("org", "key", F.coalesce("email", "head").alias("person"))
+    nameless = alone.join(centre, ["org", "key"]).select("org", "spelling", "short", "shorts", "person")
     nameless = stored(nameless, "nameless")
     # open initials and cut names: a person without an address, if one only and no addressed one fits
     fits = nameless.select("org", "person", F.explode(F.array_distinct("shorts")).alias("short")).distinct()

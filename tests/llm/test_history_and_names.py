@@ -122,3 +122,11 @@ def test_told_in_full(spark):
     ]
     df = spark.createDataFrame(cases, "s string, h string, want string")
     assert [r.t for r in df.select(names.told_in_full(F.col("s"), F.col("h")).alias("t")).collect()] == [w for _, _, w in cases]
+
+
+def test_links_carry_on(spark):
+    chain, slips = ["abel quornam", "abel quozzam", "abel zuozzam"], ["dora kalinski", "dora kalinzzi", "dora kalxnzzi"]
+    rows = [(x, "redoak", None) for x in chain + slips[1:]] + [(slips[0], "redoak", "dora@x.org")]
+    df = spark.createDataFrame(rows, "spelling string, org string, email string")
+    got = {tuple(x) for x in names.spelling_pairs(names.persons(df)).collect()}
+    assert got == {*itertools.combinations(chain, 2), *itertools.combinations(slips, 2)}
