@@ -35,7 +35,7 @@ _TITLES = {"mr", "mrs", "ms", "dr", "hon", "prof", "rev", "jr", "sr", "ii", "iii
 
 
 #: A headline that ends in the organisation still states the position when it is cut short.
-_ENDS_IN_ORG = range(5, 8)
+_ENDS_IN_ORG = range(5, 9)
 
 
 def fold(text: str) -> str:
