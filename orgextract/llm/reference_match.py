@@ -5,7 +5,7 @@ returns every form within the threshold; the nearest form's entry wins. A refere
 up to `broadcast_entries` travels to the workers as one tree and rows are mapped where
 they lie, without a shuffle, so a value that holds a third of all rows costs one lookup
 per batch. A longer list is cut into shards: each shard's tree answers for the distinct
-values, and the shards' winners are merged by (distance, entry).
+values, and the shards' winners are merged by (stage, distance, entry).
 
 Defined results
 * null or blank values give no row; values within reach of no entry give -1;
@@ -138,19 +138,25 @@ class Matcher:
     def find(self, raw: str) -> tuple[int, int] | None:
         """The whole text; else without its remark: leading segments, other segments, then
         the leading or trailing words of a text that begins or ends with a written form."""
-        hit = self.nearest(" ".join(words(raw)))
-        if hit:
-            return hit
+        hit = self.staged(raw)
+        return hit[1:] if hit else None
+
+    def staged(self, raw: str) -> tuple[int, int, int] | None:
+        """(stage, distance, entry id) of the first reading in find()'s order that has a hit."""
+        whole = words(raw)
         parts = [p for p in _SEPARATORS.split(raw) if re.search(r"\w", p)]
-        for p in [" ".join(parts[:n]) for n in range(len(parts) - 1, 0, -1)] + parts[1:]:
-            hit = self.nearest(" ".join(words(p)))
-            if hit:
-                return hit
         split_case = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", raw)
-        if split_case != raw and (hit := self.nearest(" ".join(words(split_case)))):
-            return hit
-        w = [x for x in words(raw) if x not in PLACES]
-        return self.nearest(" ".join(w)) if len(w) < len(words(raw)) else None
+        placeless = [x for x in whole if x not in PLACES]
+        readings = itertools.chain(
+            [whole],
+            (words(p) for p in [" ".join(parts[:n]) for n in range(len(parts) - 1, 0, -1)] + parts[1:]),
+            (words(x) for x in [split_case if split_case != raw else ""]),
+            [placeless if len(placeless) < len(whole) else []],
+        )
+        for stage, reading in enumerate(readings):
+            if hit := self.nearest(" ".join(reading)):
+                return stage, *hit
+        return None
 
 
 #: Values a worker remembers; beyond that it starts over.
@@ -182,7 +188,7 @@ def map_to_sharded_reference(
 ) -> DataFrame:
     """The same for a reference list too long for one worker: (role_ref_id, canonical, short) is cut
     into shards; each distinct value is asked of every shard's tree in its own task group, and the
-    shard winners merge by (distance, entry). `id_col` rows meet the answers by value digest."""
+    shard winners merge by (stage, distance, entry). `id_col` rows meet the answers by value digest."""
     values = df.filter(F.col(value).rlike(r"(?U)[^\s\u200B\uFEFF]")).select(id_col, F.col(value).alias("_v"))
     distinct = values.select("_v").distinct()
     blocks = 4 * shards
@@ -196,15 +202,15 @@ def map_to_sharded_reference(
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         entries = [(int(i), c, s) for i, c, s in zip(right.role_ref_id, right.canonical, right.short)]
         m = Matcher(entries, synonyms)
-        hits = [(v, *hit) for v in left._v if (hit := m.find(v))]
-        return pd.DataFrame(hits, columns=["_v", "_d", "_ref"])
+        hits = [(v, *hit) for v in left._v if (hit := m.staged(v))]
+        return pd.DataFrame(hits, columns=["_v", "_stage", "_d", "_ref"])
 
     winners = (
         asked.groupBy("_shard", "_block")
         .cogroup(trees.groupBy("_shard", "_block"))
-        .applyInPandas(answer, "_v string, _d int, _ref int")
+        .applyInPandas(answer, "_v string, _stage int, _d int, _ref int")
         .groupBy("_v")
-        .agg(F.min(F.struct("_d", "_ref"))["_ref"].alias("_ref"))
+        .agg(F.min(F.struct("_stage", "_d", "_ref"))["_ref"].alias("_ref"))
     )
     return values.join(winners, "_v", "left").select(id_col, F.coalesce("_ref", F.lit(-1)).alias("ref_id"))
 
