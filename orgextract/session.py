@@ -31,18 +31,16 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + own
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one for a query's own store; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/orgextract-{label}-{uuid.uuid4().hex}"
+    fs, at = file_system(spark, path)
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
@@ -55,7 +53,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/orgextract-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     fs.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
@@ -66,5 +64,5 @@ def discard(df: DataFrame) -> None:
     """Removes the files of a stored table that no later step reads."""
     path = getattr(df, "_stored_at", None)
     if path:
-        fs, at = _file_system(df.sparkSession, path)
+        fs, at = file_system(df.sparkSession, path)
         fs.delete(at, True)
