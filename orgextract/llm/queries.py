@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orgextract.llm import history, leaks, ledger, names, packing, reference_match, sentences, survivors
 from orgextract.operators.packed import ORGANIZATION, PERSON, with_items
-from orgextract.session import stored, table
+from orgextract.session import scratch_folder, stored, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +16,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(ledger.keyed(entries, "entry_id", ["email", "role", "name"], ["loaded_at"]), "keyed")
     last = rows.agg(F.max("loaded_at")).first()[0]
     late = F.coalesce(F.col("loaded_at") > F.lit(last).cast("timestamp") - F.expr("INTERVAL 30 DAYS"), F.lit(False))
-    book = ledger.merge(None, rows.filter(~late))
+    book = ledger.open_ledger(spark, scratch_folder(spark, "ledger"))
+    book = ledger.merge(book, rows.filter(~late))
     book = ledger.merge(book, rows.filter(late))
     return ledger.copies(rows, book).select(F.col("first_id").alias("first_entry_id"), F.col("_id").alias("entry_id"))
 

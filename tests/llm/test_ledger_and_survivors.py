@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from orgextract.llm import ledger, survivors
 
 
-def test_copies_over_batches(spark):
+def book_of(spark, tmp_path, *batches, buckets=8):
+    book = ledger.open_ledger(spark, f"file://{tmp_path}/{random.random()}", buckets)
+    for b in batches:
+        book = ledger.merge(book, b)
+    return book
+
+
+def test_copies_over_batches(spark, tmp_path):
     data = [
         (1, "A@x.org", "CEO", "Ann Bo"), (2, "ann bo", "a@X.ORG", "c.e.o"), (3, None, "", "  "), (4, "-", None, None), (5, "é", "CEO", "q"),
         (6, "é", "ceo", "Q!"), (7, "e", "ceo", "q"), (8, "A@x.org", "CEO", "Ann Bo"),
@@ -15,20 +22,50 @@ def test_copies_over_batches(spark):
     rows = ledger.keyed(df, "id", ["email", "role", "name"], ["copies"]).withColumnRenamed("copies", "batch").cache()
     want = [(1, 2), (1, 8), (3, 4), (5, 6)]
     for cut in (0, 3, 6, 8):
-        book = ledger.merge(None, rows.filter(F.col("batch") < cut))
-        book = ledger.merge(book, rows.filter(F.col("batch") >= cut))
+        book = book_of(spark, tmp_path, rows.filter(F.col("batch") < cut), rows.filter(F.col("batch") >= cut))
         assert sorted(tuple(r) for r in ledger.copies(rows, book).collect()) == want
-        assert book.agg(F.sum("copies")).first()[0] == len(data)
-    assert ledger.copies(rows.filter("false"), ledger.merge(None, rows.filter("false"))).count() == 0
+        assert ledger.rows_of(book).agg(F.sum("copies")).first()[0] == len(data)
+    assert ledger.copies(rows.filter("false"), book_of(spark, tmp_path, rows.filter("false"))).count() == 0
 
 
-def test_hot_key(spark):
+def test_hot_key(spark, tmp_path):
     df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("name"))
     rows = ledger.keyed(df, "id", ["name"])
-    got = ledger.copies(rows, ledger.merge(None, rows))
+    got = ledger.copies(rows, book_of(spark, tmp_path, rows))
     assert got.count() == 2999 and got.filter("first_id <> 0").count() == 0
 
 
+def test_ledger_lasts_and_reads_only_the_batch_s_buckets(spark, tmp_path):
+    import os
+
+    path = f"file://{tmp_path}/book"
+    make = lambda a, b: ledger.keyed(spark.range(a, b).select("id", F.col("id").cast("string").alias("name")), "id", ["name"])
+    ledger.merge(ledger.open_ledger(spark, path, 256), make(0, 20_000))
+    size = lambda v: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{tmp_path}/book/ledger") for f in fs if f.endswith(".parquet") and f"version={v}-" in d)
+    # another session opens what the first one left
+    book = ledger.open_ledger(spark.newSession(), path)
+    assert book.version == 1 and book.settings == {"buckets": 256}
+    batch = make(19_998, 20_003)
+    touched = {r.part for r in ledger.aggregate_batch(batch, 256).collect()}
+    after = ledger.merge(book, batch)
+    assert {p for p, v in after.parts["ledger"].items() if v[-1].startswith("2-") and len(v) == 1} == touched and len(touched) <= 5
+    assert size(2) < size(1) / 25
+    assert ledger.rows_of(ledger.open_ledger(spark, path)).agg(F.count("*"), F.sum("copies")).first()[:] == (20_003, 20_005)
+    assert sorted(tuple(r) for r in ledger.copies(batch.withColumn("_id", F.col("_id") + 50_000), after).collect()) == [(i, i + 50_000) for i in (19_998, 19_999)]
+
+
+def test_a_failed_writer_leaves_the_ledger_as_it_was(spark, tmp_path):
+    import pytest
+
+    path = f"file://{tmp_path}/book"
+    rows = ledger.keyed(spark.range(50).select("id", F.col("id").cast("string").alias("name")), "id", ["name"])
+    first, second = ledger.open_ledger(spark, path, 4), ledger.open_ledger(spark, path, 4)
+    ledger.merge(first, rows)
+    with pytest.raises(RuntimeError):
+        ledger.merge(second, rows)
+    assert ledger.rows_of(ledger.open_ledger(spark, path)).count() == 50
+
+
 def test_layers_and_fill(spark):
     t = dt.datetime(2025, 1, 1)
     data = [("a", 2, 1, t, 1, "old full"), ("a", 1, 2, t, 2, "part"), ("a", 1, 1, t, 3, "worse"), ("a", 0, 2, t, 4, ""), ("b", 0, 1, t, 5, "")]
