@@ -30,3 +30,19 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: s
         other = rest.filter(F.col(key).isNotNull()).join(cold, key, "left")
         return found.unionByName(other).unionByName(none, allowMissingColumns=True)
     return found.unionByName(rest.join(cold, key))
+
+
+def join_split(left: DataFrame, right: DataFrame, keys: list[str], total: int | None = None, share: int = HOT_SHARE, least: int = LEAST_HOT) -> DataFrame:
+    """left joined with right on keys where both sides may hold many rows of one key (an inner join, many to many).
+
+    A key with more than 1/share of right's rows is cut into slices of about that size: its right
+    rows are dealt over the slices, its left rows meet every slice, so its pairs are formed in
+    many tasks. Such keys number fewer than `share`, so their list is broadcast. Null keys find
+    nothing. `right` is read twice: pass a stored table. `total` is right's row count, if known.
+    """
+    limit = max((right.count() if total is None else total) // share, least)
+    hot = right.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+    hot = F.broadcast(hot.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")))
+    dealt = right.join(hot, keys, "left").withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(*right.columns), F.col("_slices")).cast("int"), F.lit(0)))
+    spread = left.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
+    return spread.drop("_slices").join(dealt.drop("_slices"), [*keys, "_slice"]).drop("_slice")

@@ -52,9 +52,10 @@ class Store:
         return cls(spark, path, json.loads(text))
 
     def read(self, table: str, schema: T.StructType, parts: list[int] | None = None) -> DataFrame:
-        """The table, or only the named parts of it; `schema` without the column `part`, which is added."""
+        """The table, or only the named parts of it, with what this writer has staged; `schema` is without
+        the column `part`, which is added."""
         full = T.StructType([*schema.fields, T.StructField("part", T.IntegerType())])
-        known = self.parts.get(table, {})
+        known = self.parts.get(table, {}) | self._staged.get(table, {})
         chosen = known if parts is None else [p for p in parts if p in known]
         folders = [f"{self.path}/{table}/version={v}/part={p}" for p in chosen for v in known[p]]
         if not folders:

@@ -4,7 +4,7 @@ from orgextract.functions.html import ancestor_text, html_elements
 from orgextract.functions.jsonld import people
 from orgextract.operators import announcements, nearest, resolve
 from orgextract.operators.frontier import expand
-from orgextract.operators.skew import join_counted
+from orgextract.operators.skew import join_counted, join_split
 
 
 def test_nearest_span(spark):
@@ -77,3 +77,13 @@ def test_join_counted_matches_plain_join(spark):
     got = join_counted(rows, keyed, "k", "n", "left").select("id", "m")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert join_counted(rows, keyed, "k", "n").count() == rows.join(keyed, "k").count()
+
+
+def test_join_split_matches_plain_join(spark):
+    left = spark.range(400).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 11 == 0, None).otherwise((F.col("id") % 20).cast("string")).alias("k"), F.col("id").alias("a"))
+    right = left.select("k", F.col("a").alias("b"))
+    want = sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    plan = join_split(left, right, ["k"], least=10, share=50)
+    assert sorted(map(tuple, plan.select("k", "a", "b").collect())) == want
+    assert join_split(left, right, ["k"]).count() == len(want)
+    assert join_split(left, right.filter("false"), ["k"], least=10).count() == 0
