@@ -1,4 +1,5 @@
-"""What an announcement's headline says: person, position and organisation, and a bit-difference fingerprint."""
+"""What an announcement's headline says: its own words with a bit-difference fingerprint, and, to compare two of
+them in full, person, position and organisation."""
 
 from __future__ import annotations
 
@@ -6,7 +7,7 @@ import html
 import re
 import unicodedata
 
-from orgextract.llm.reference_match import Matcher, plain
+from orgextract.llm.reference_match import ABBREVIATIONS, Matcher, plain
 
 # How feeds decorate a headline, and the wordings of an appointment.
 _LEAD = re.compile(
@@ -93,6 +94,20 @@ def _parts(text: str, matcher: Matcher, cut: bool):
     return None
 
 
+class Remembering:
+    """A matcher that looks each wording of a position up once."""
+
+    def __init__(self, matcher: Matcher):
+        self.matcher, self.tree, self.known = matcher, matcher.tree, {}
+
+    def find(self, raw: str) -> tuple[int, int] | None:
+        if raw not in self.known:
+            if len(self.known) > _REMEMBERED:
+                self.known.clear()
+            self.known[raw] = self.matcher.find(raw)
+        return self.known[raw]
+
+
 def _respell(text: str) -> str:
     """A slip in the verb itself: words within two letters of a known verb become it."""
     from orgextract.llm.editmetric import within
@@ -106,17 +121,65 @@ def _respell(text: str) -> str:
     return " ".join(out)
 
 
-_A = ord("a")
-#: Bit places are shuffled once, so each block holds letters of the person and of the organisation.
-_PLACE = [(i * 29 + 7) % 64 for i in range(64)]
+# Words of the wordings, of kinds of organisations and of decorations. With the words of
+# positions they are common to many announcements and tell none from another.
+_COMMON = (
+    "the a an of at as to by for in on and its new over post board names named naming announces announced welcomes introduces "
+    "appoints appointed hires hired taps elects elected promotes promoted elevates joins rejoins takes becomes become selects "
+    "picks chooses effective next this month immediately update updated reminder correction breaking exclusive video watch "
+    "news alert repost credit union unions federal community employees members teachers nurses city county savings fcu cu "
+    "coop co op inc ltd mr mrs ms dr hon prof rev jr sr ii iii iv cpa ccue cfa mba"
+).split()
+#: Words remembered by a worker; beyond that it starts over.
+_REMEMBERED = 200_000
+
+
+def _shorter(word: str) -> set[str]:
+    return {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
+class CommonWords:
+    """The words of wordings, organisations' kinds and positions. One of four letters or more (or a company's
+    short form) may have a slip: it is found by the words with one letter left out that both share."""
+
+    def __init__(self, matcher: Matcher):
+        positions = {w for form in matcher.tree.values for w in form.split()}
+        self.words = {*_COMMON, *positions, *ABBREVIATIONS}
+        self.near = {d for w in self.words if len(w) >= 4 or w in ("inc", "ltd") for d in (w, *_shorter(w))}
+        self.known: dict[str, bool] = {}
+
+    def __contains__(self, word: str) -> bool:
+        hit = self.known.get(word)
+        if hit is None:
+            if len(self.known) > _REMEMBERED:
+                self.known.clear()
+            hit = self.known[word] = word in self.words or (len(word) >= 3 and (word in self.near or not self.near.isdisjoint(_shorter(word))))
+        return hit
+
+
+def normal(title: str, common: CommonWords) -> tuple[str, list[str]]:
+    """(the headline's words in order, without decoration; its own words, sorted). The last word of a headline cut short is dropped."""
+    text = _LEAD.sub("", clean(title)).strip(" \"'“”*")
+    cut = bool(_CUT.search(text))
+    text = fold(_TAIL.sub("", _CUT.sub("", text).rstrip()))
+    words = re.findall(r"[^\W_]+", re.sub(r"['.\u2010\u2011-]", "", text))
+    own = sorted(w for w in (words[:-1] if cut else words) if len(w) > 1 and w not in common)
+    return " ".join(words), own
+
+
+#: A fingerprint has two halves of three blocks. Letters are dealt to the blocks by how common they are.
+HALF, BLOCK = 27, 9
+_PLACE = {c: r % 3 * BLOCK + r // 3 for r, c in enumerate("eaionrlstudhmgbcpfkwvyzxjq")}
+_ELSE = HALF - 1
 
 
-def fingerprint(person: str, core: str) -> int:
-    """64 parity bits: one per letter of the person's name and of the organisation's. A wrong letter
-    flips two bits, a missing or added one flips one, swapped letters none."""
+def fingerprint(own: list[str]) -> int:
+    """Parity bits, so that little changes flip few of them: one per letter over the headline's own words, and
+    one per letter over the first letters of these words. In the first half a wrong letter flips two bits,
+    a missing or added one flips one, swapped letters none; in the second at most two."""
     bits = 0
-    for offset, text in ((0, person), (32, core)):
-        for c in text:
-            k = ord(c) - _A
-            bits ^= 1 << _PLACE[offset + (k if 0 <= k < 26 else 26 + ord(c) % 6)]
-    return bits - (1 << 64) if bits >= 1 << 63 else bits
+    for w in own:
+        for c in w:
+            bits ^= 1 << _PLACE.get(c, _ELSE)
+        bits ^= 1 << (HALF + _PLACE.get(w[0], _ELSE))
+    return bits

@@ -45,14 +45,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs but the last of each feed's numbering are history, the last run arrives as a batch."""
     runs = table(spark, sf_dir, "feed_runs").filter("feed_kind = 'incremental'").select("feed_id").distinct()
     rss = table(spark, sf_dir, "leadership_changes_rss").join(F.broadcast(runs), "feed_id")  # one row per feed
-    rows = rss.select(F.col("change_id").alias("id"), "run_no", history.page_key(F.col("Link")).alias("page"), F.col("Title").alias("title"))
-    parsed = history.read_headlines(rows.drop("run_no"), reference_matcher(spark, sf_dir))
+    rows = rss.select(F.col("change_id").alias("id"), history.page_key(F.col("Link")).alias("page"), F.col("Title").alias("title"))
+    matcher = reference_matcher(spark, sf_dir)
+    read = stored(history.read_headlines(rows, matcher), "headlines")
     last = rss.agg(F.max("run_no")).first()[0]
     early = rss.filter(F.col("run_no") < F.lit(last)).agg(F.max("change_id")).first()[0] or 0
-    parsed = stored(parsed, "headlines")
-    store = history.accept(None, parsed.filter(F.col("id") <= early))
-    store = history.accept(store, parsed.filter(F.col("id") > early))
-    return history.repeats(parsed, store).select(F.col("first_id").alias("first_change_id"), F.col("id").alias("change_id"))
+    store = history.open_store(spark, scratch_folder(spark, "history"))
+    for batch in (read.filter(F.col("id") <= early), read.filter(F.col("id") > early)):
+        store = history.accept(store, batch, matcher)
+    return history.repeats(read, store).select(F.col("first_id").alias("first_change_id"), F.col("id").alias("change_id"))
 
 
 # Extractors whose hits are read off loose context, and words that are no name.

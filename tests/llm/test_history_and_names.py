@@ -21,11 +21,47 @@ def test_parse():
     assert key("People on the move") is None and key("") is None and key("x" * 30_000) is None
 
 
+COMMON = headlines.CommonWords(M)
+
+
+def halves(a, b):
+    x = headlines.fingerprint(a) ^ headlines.fingerprint(b)
+    return (x & ((1 << headlines.HALF) - 1)).bit_count(), (x >> headlines.HALF).bit_count()
+
+
 def test_fingerprint_bits():
-    a = headlines.fingerprint("annbo", "redoak")
-    flips = lambda p, o: bin((a ^ headlines.fingerprint(p, o)) & (2**64 - 1)).count("1")
-    assert flips("annbo", "redoak") == 0 and flips("anbno", "redoak") == 0 and flips("anbo", "redoak") == 1 and flips("anmbo", "redoak") == 2 and flips("annxbo", "redoak") == 1
-    assert flips("anmbo", "redoek") <= 4
+    a = ["ann", "bowen", "oak", "red"]
+    assert halves(a, a) == (0, 0) and halves(a, ["ann", "bowne", "oak", "red"]) == (0, 0) and halves(a, ["ann", "bowe", "oak", "red"]) == (1, 0)
+    assert halves(a, ["ann", "bowem", "oak", "red"]) == (2, 0) and halves(a, ["ann", "nowen", "oak", "red"]) == (2, 2) and halves(a, ["ann", "obwen", "oak", "red"]) == (0, 2)
+
+
+def test_own_words():
+    own = lambda t: headlines.normal(t, COMMON)[1]
+    for t in ["Red Oak Credit Union appoints Ann Bowen as CFO", "UPDATE: Ann Bowen named Cheif Financial Officer of Red Oak CU, Imc.!", "ANN K. BOWEN ELECTED CFO AT RED OAK FEDERAL CREDIT UNION",
+              "Board of Red Oak Ciy & County FCU selects Ann Bowen for Chf Fin Ofcr pot", "Ann Bowen joins Red Oak Cred…"]:
+        assert own(t) == ["ann", "bowen", "oak", "red"] or (t.startswith("Ann") and set(own(t)) <= {"ann", "bowen", "oak", "red"}), t
+    assert own("") == [] and own("Credit union names new CFO") == []
+
+
+def test_every_pair_within_the_documented_bits_meets(spark):
+    """Against brute force: exact within MAX_BITS per half, and of all pairs with one slip at least 0.9."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("aeioulnrstdmkvbg") for _ in range(r.randint(4, 8)))
+    texts = [sorted(word() for _ in range(4)) for _ in range(300)]
+    slipped = []
+    for t in texts:
+        i = r.randrange(4)
+        w, at = t[i], r.randrange(len(t[i]))
+        w = r.choice([w[:at] + w[at + 1 :], w[:at] + "x" + w[at + 1 :], w[:at] + "x" + w[at:]])
+        slipped.append(sorted([*t[:i], *t[i + 1 :], w]))
+    fps = [headlines.fingerprint(t) for t in texts + slipped]
+    df = spark.createDataFrame(list(enumerate(fps)), "rep long, fp long")
+    cut = history.block_rows(df).withColumn("old", F.lit(False)).cache()
+    got = {(x.b, x.a) for x in history.near(cut, cut).collect()}
+    low = (1 << headlines.HALF) - 1
+    close = lambda x: (x & low).bit_count() <= history.MAX_BITS and (x >> headlines.HALF).bit_count() <= history.MAX_BITS
+    assert got == {(i, j) for i, j in itertools.combinations(range(len(fps)), 2) if close(fps[i] ^ fps[j])}
+    assert sum((i, i + 300) in got for i in range(300)) >= 0.99 * 300
 
 
 def test_page_key(spark):
@@ -41,14 +77,37 @@ TITLES = [
 ]
 
 
-def test_batches_agree_with_one_pass(spark):
+WANT = [(1, 2), (1, 5), (1, 6), (1, 9), (3, 4)]
+
+
+def test_batches_agree_with_one_pass(spark, tmp_path):
     df = spark.createDataFrame(TITLES, "id long, page string, title string")
     rows = history.read_headlines(df, M).cache()
-    want = [(1, 2), (1, 5), (1, 6), (1, 9), (3, 4)]
-    for cut in (0, 3, 6, 20):
-        store = history.accept(None, rows.filter(F.col("id") < cut))
-        store = history.accept(store, rows.filter(F.col("id") >= cut))
-        assert sorted(tuple(r) for r in history.repeats(rows, store).collect()) == want, cut
+    for cuts in ((3, 20), (2, 6)):
+        store = history.open_store(spark, f"file://{tmp_path}/{cuts}", 4)
+        for a, b in zip((0, *cuts), (*cuts, 99)):
+            store = history.accept(store, rows.filter((F.col("id") > a) & (F.col("id") <= b)), M)
+        assert sorted(tuple(r) for r in history.repeats(rows, store).collect()) == WANT, cuts
+
+
+def test_history_lasts_and_grows_by_appending(spark, tmp_path):
+    import os
+
+    path = f"file://{tmp_path}/h"
+    more = [(100 + i, f"b.org/{i}", f"{''.join(random.Random(i).sample('aeilnorstu', 6)).title()} Quo{chr(97 + i % 26)}{chr(97 + i // 26)}r joins Blue{chr(97 + i % 7)} Hill CU as CFO") for i in range(600)]
+    rows = history.read_headlines(spark.createDataFrame(TITLES + more, "id long, page string, title string"), M).cache()
+    late = F.col("id").isin(6, 9)
+    history.accept(history.open_store(spark, path, 32), rows.filter(~late), M)
+    files = lambda v: {os.path.join(d, f) for d, _, fs in os.walk(f"{tmp_path}/h") for f in fs if f.endswith(".parquet") and f"version={v}-" in d}
+    before = {f: os.path.getmtime(f) for f in files(1)}
+    # another session goes on with what the first one left
+    store = history.open_store(spark.newSession(), path)
+    assert store.version == 1
+    store = history.accept(store, rows.filter(late), M)
+    size = lambda v: sum(map(os.path.getsize, files(v)))
+    assert {f: os.path.getmtime(f) for f in files(1)} == before and size(2) < size(1) / 10
+    got = {tuple(r) for r in history.repeats(rows, history.open_store(spark, path)).collect()}
+    assert set(WANT) <= got and all(a >= 100 for a, _ in got - set(WANT))
 
 
 def test_components(spark):
