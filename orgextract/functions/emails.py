@@ -31,7 +31,7 @@ def is_email(c: Column) -> Column:
 
 def deobfuscate(c: Column, profile: str = "C") -> Column:
     """A also rewrites the bare words " at " and " dot " (in prose too), B replaces literally and
-    in this case only, C needs brackets and resolves character entities first (see html_unescape)."""
+    in this case only, C needs brackets and resolves character entities first."""
     rep = F.regexp_replace
     if profile == "A":
         t = rep(rep(c, r"(?i)\s*\[at\]\s*|\s+at\s+", "@"), r"(?i)\s*\[dot\]\s*|\s+dot\s+", ".")
@@ -40,6 +40,7 @@ def deobfuscate(c: Column, profile: str = "C") -> Column:
         for word, sign in (("[at]", "@"), ("(at)", "@"), (" at ", "@"), ("[dot]", "."), ("(dot)", "."), (" dot ", ".")):
             c = F.replace(c, F.lit(word), F.lit(sign))
         return c
+    c = html_unescape(c)
     return rep(rep(c, r"(?i)\s*\[at\]\s*|\s*\(at\)\s*", "@"), r"(?i)\s*\[dot\]\s*|\s*\(dot\)\s*", ".")
 
 

@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from orgextract import profiles as p
 
 
+_ROLE_B = rf"(?i)\b(?:{'|'.join(p.ROLES_B)})\b"
+
+
 def strip_tags(html: Column) -> Column:
     """Each tag becomes a space; script text stays."""
     return F.regexp_replace(html, "<[^>]+>", " ")
 
 
 def infer_role_b(text: Column) -> Column:
-    """The longest match over all patterns; ties to the earlier pattern, then the earlier place."""
+    """The longest match over all patterns; ties to the earlier pattern, then the earlier place.
+
+    One alternation tells texts without any role, so only the others meet every pattern.
+    """
     t, n = F.coalesce(text, F.lit("")), len(p.ROLES_B)
 
     def hits_of(i: int, role: str) -> Column:
@@ -22,7 +28,7 @@ def infer_role_b(text: Column) -> Column:
         return F.transform(found, lambda m, j: F.struct(F.length(m).alias("l"), F.lit(n - i).alias("r"), (-j).alias("o"), m.alias("m")))
 
     hits = F.flatten(F.array(*[hits_of(i, r) for i, r in enumerate(p.ROLES_B)]))
-    return F.coalesce(F.array_max(hits)["m"], F.lit(""))
+    return F.when(t.rlike(_ROLE_B), F.coalesce(F.array_max(hits)["m"], F.lit(""))).otherwise("")
 
 
 def role_first_c(text: Column) -> Column:
@@ -37,7 +43,7 @@ def roles_a(text: Column) -> Column:
 
 def is_leadership(role: Column) -> Column:
     """T5."""
-    return F.coalesce(role.rlike(rf"(?i)\b(?:{'|'.join(p.ROLES_B)})\b"), F.lit(False))
+    return F.coalesce(role.rlike(_ROLE_B), F.lit(False))
 
 
 def first_name(text: Column, profile: str = "C") -> Column:
@@ -47,7 +53,7 @@ def first_name(text: Column, profile: str = "C") -> Column:
 
 def is_service_role(role: Column) -> Column:
     """T7."""
-    return F.exists(F.array(*[F.lit(s) for s in p.SERVICE_ROLES]), lambda s: F.contains(F.lower(F.coalesce(role, F.lit(""))), s))
+    return F.coalesce(role.rlike(rf"(?i){'|'.join(p.SERVICE_ROLES)}"), F.lit(False))
 
 
 def blank_bad_name(name: Column) -> Column:

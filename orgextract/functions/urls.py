@@ -6,11 +6,14 @@ it works on patterns and never raises, whatever the text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from orgextract import profiles as p
 
+any_of = lambda words: "|".join(re.escape(w) for w in words)
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 
 
@@ -37,7 +40,7 @@ def fix_tld(host: Column) -> Column:
 
 def is_bad_host(host: Column) -> Column:
     """Any listed host is part of this one."""
-    return F.exists(F.array(*[F.lit(b) for b in p.BAD_HOSTS]), lambda b: F.contains(host, b))
+    return host.rlike(any_of(p.BAD_HOSTS))
 
 
 def normalize_url(raw: Column) -> Column:
@@ -125,12 +128,18 @@ def flip_scheme(url: Column) -> Column:
     )
 
 
-def url_path(url: Column) -> Column:
-    """Path, '/' if none."""
+def bare_path(url: Column) -> Column:
+    """The path, '/' if none."""
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)", 1)
     return F.when(path == "", "/").otherwise(path)
 
 
+def url_path(url: Column) -> Column:
+    """The path, with a trailing '/' where the URL itself ends with one."""
+    path = bare_path(url)
+    return F.when(url.endswith("/") & ~path.endswith("/"), F.concat(path, F.lit("/"))).otherwise(path)
+
+
 def is_valid_http(url: Column) -> Column:
     """P2."""
     return F.coalesce(url.rlike(r"(?i)^https?://[^/?#]+"), F.lit(False))
@@ -149,26 +158,26 @@ def is_org_domain(domain: Column, profile: str = "C") -> Column:
 
 
 def allowed_path(url: Column, allowed: Column) -> Column:
-    """The path begins with an allowed prefix."""
+    """The path begins with an allowed prefix; an empty list allows all."""
     path = url_path(url)
-    return F.exists(allowed, lambda a: F.startswith(path, a))
+    return (F.size(allowed) == 0) | F.exists(allowed, lambda a: F.startswith(path, a))
 
 
 def is_denied(url: Column) -> Column:
-    """A denied path pattern, or a denied word anywhere in the URL, host included."""
+    """A denied pattern in the path, or a denied word anywhere in the URL, host included."""
     u = F.lower(url)
-    return u.rlike(p.PEOPLE_DENY_PATTERN) | F.exists(F.array(*[F.lit(d) for d in p.PEOPLE_DENY]), lambda d: F.contains(u, d))
+    return bare_path(u).rlike(any_of(p.PEOPLE_DENY_PATHS)) | u.rlike(any_of(p.PEOPLE_DENY))
 
 
 def is_people_relevant(url: Column) -> Column:
-    """An allowed word, else not denied."""
+    """An allowed word anywhere in the URL, else no denied one."""
     u = F.lower(url)
-    return F.exists(F.array(*[F.lit(a) for a in p.PEOPLE_ALLOW]), lambda a: F.contains(u, a)) | ~is_denied(url)
+    return u.rlike(any_of(p.PEOPLE_ALLOW)) | ~u.rlike(any_of(p.PEOPLE_DENY))
 
 
 def is_text_type(content_type: Column) -> Column:
     """P10: listed prefix of a content type."""
-    return F.exists(F.array(*[F.lit(t) for t in p.TEXT_CONTENT_TYPES]), lambda t: F.startswith(F.lower(content_type), t))
+    return F.coalesce(F.lower(content_type).rlike(f"^(?:{any_of(p.TEXT_CONTENT_TYPES)})"), F.lit(False))
 
 
 def is_pdf(url: Column) -> Column:
@@ -176,6 +185,22 @@ def is_pdf(url: Column) -> Column:
     return F.lower(url).endswith(".pdf")
 
 
-def is_blocked(url: Column) -> Column:
-    """A resource that carries no text."""
-    return url.rlike(p.BLOCKED_RESOURCES)
+def is_blocked(url: Column, profile: str = "C") -> Column:
+    """A request a crawl doesn't make: pictures, fonts and trackers."""
+    return url.rlike("(?i)" + "|".join(p.BLOCKED if profile == "A" else p.BLOCKED_BC))
+
+
+def hook_applies(url: Column, site: str, profile: str = "C") -> Column:
+    """Whether a site's own extractor reads this page. A: host and path, B: host and URL, C: the host root alone."""
+    host = F.lower(netloc(url))
+    if profile == "A":
+        return F.contains(host, F.lit(site)) & F.lower(bare_path(url)).rlike(any_of(p.HOOK_MARKS_A))
+    if profile == "B":
+        return F.contains(host, F.lit(site)) & F.lower(url).rlike(any_of(p.HOOK_MARKS_B))
+    return host_root(url) == site
+
+
+def is_valid_seed(raw: Column) -> Column:
+    """A row of an organisation list whose URL normalises to a web address of an organisation's domain (A)."""
+    url = normalize_url(raw)
+    return (url != "") & is_valid_http(url) & is_org_domain(netloc(url), "A")

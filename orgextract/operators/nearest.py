@@ -3,20 +3,32 @@ equality key, so none becomes a nested loop over the corpus."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _near(hits: DataFrame, spans: DataFrame, key: str, reach: int, ends: list[str]) -> DataFrame:
+    """hits with spans of the same document in the same or a neighbouring stretch of `reach` characters.
+
+    The stretch is part of the join key, so a long document doesn't bring all its hits and spans together.
+    """
+    h = hits.select(key, "pos").distinct().withColumn("_b", F.floor(F.col("pos") / reach))
+    stretches = F.array_distinct(F.flatten(F.array(*[F.array(*[F.floor(F.col(c) / reach) + d for d in (-1, 0, 1)]) for c in ends])))
+    s = spans.withColumnRenamed(key, "_k").withColumn("_s", F.explode(stretches))
+    return h.join(s, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_s"))).drop("_k", "_b", "_s")
+
+
 def nearest_span(hits: DataFrame, spans: DataFrame, key: str, reach: int) -> DataFrame:
     """JN2: hits (key, pos, ...) with the text of the nearest span (key, start, end, text) within reach, '' if none.
 
     Distance is to the nearer end; ties go to the earlier span.
     """
-    s = spans.select(F.col(key).alias("_k"), F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("text").alias("_text"))
-    d = F.least(F.abs(F.col("_a") - F.col("pos")), F.abs(F.col("_b") - F.col("pos")))
+    s = spans.select(key, F.col("start").alias("_a"), F.col("end").alias("_e"), F.col("text").alias("_text"))
+    d = F.least(F.abs(F.col("_a") - F.col("pos")), F.abs(F.col("_e") - F.col("pos")))
     near = (
-        hits.select(key, "pos").distinct()
-        .join(s, F.col(key) == F.col("_k"))
+        _near(hits, s, key, reach, ["_a", "_e"])
         .withColumn("_d", d)
         .filter(F.col("_d") <= reach)
         .groupBy(key, "pos")
@@ -27,21 +39,31 @@ def nearest_span(hits: DataFrame, spans: DataFrame, key: str, reach: int) -> Dat
 
 def in_window(hits: DataFrame, spans: DataFrame, key: str, reach: int) -> DataFrame:
     """JN3: hits with every span that begins within reach."""
-    s = spans.select(F.col(key).alias("_k"), F.col("start").alias("span_start"), F.col("text").alias("span_text"))
-    return hits.join(s, (F.col(key) == F.col("_k")) & (F.abs(F.col("span_start") - F.col("pos")) <= reach)).drop("_k")
+    s = spans.select(key, F.col("start").alias("span_start"), F.col("text").alias("span_text"))
+    near = _near(hits, s, key, reach, ["span_start"]).filter(F.abs(F.col("span_start") - F.col("pos")) <= reach)
+    return hits.join(near, [key, "pos"])
 
 
-def neighbour_line(lines: DataFrame, key: str, reach: int = 5) -> DataFrame:
-    """JN4: for each role line (key, line_no, role, name) the name on the nearest line within reach,
-    in the order 0, +1, -1, +2, -2, ...; the last role line of a document decides."""
+def neighbour_line(lines: DataFrame, key: str, reach: int = 5, is_service: Callable[[Column], Column] | None = None) -> DataFrame:
+    """JN4: key, role, name from the lines (key, line_no, role, name; '' where a line has none) of a text.
+
+    The role is that of the last role line. The name is the one on the line nearest to the last line
+    that has a name within reach, in the order 0, +1, -1, +2, -2, ... A line with a service role
+    blanks the role and ends the scan: what follows it decides nothing, though its name can be read.
+    """
+    service = F.lit(False) if is_service is None else is_service(F.col("role"))
+    ends = lines.filter((F.col("role") != "") & service).groupBy(key).agg(F.min("line_no").alias("_end"))
+    read = lines.join(ends, key, "left").filter("_end IS NULL OR line_no < _end")
+    role = lines.join(ends, key, "left").groupBy(key).agg(
+        F.max_by("role", F.when((F.col("role") != "") & F.col("_end").isNull(), F.col("line_no"))).alias("role")
+    )
     n = lines.filter("name <> ''").select(F.col(key).alias("_k"), F.col("line_no").alias("_n"), F.col("name").alias("_name"))
+    n = n.withColumn("_at", F.explode(F.sequence(F.col("_n") - reach, F.col("_n") + reach)))
     delta = F.col("_n") - F.col("line_no")
     rank = F.abs(delta) * 2 - (delta > 0).cast("int")
-    paired = (
-        lines.filter("role <> ''").join(n, (F.col(key) == F.col("_k")) & (F.abs(delta) <= reach), "left")
-        .groupBy(key, "line_no", "role").agg(F.min_by("_name", rank).alias("name"))
-    )
-    return paired.groupBy(key).agg(F.max_by(F.struct("role", "name"), "line_no").alias("_x")).select(key, "_x.role", F.coalesce("_x.name", F.lit("")).alias("name"))
+    named = read.join(n, (F.col(key) == F.col("_k")) & (F.col("line_no") == F.col("_at"))).groupBy(key, "line_no").agg(F.min_by("_name", rank).alias("name"))
+    name = named.groupBy(key).agg(F.max_by("name", "line_no").alias("name"))
+    return role.join(name, key, "left").select(key, F.coalesce("role", F.lit("")).alias("role"), F.coalesce("name", F.lit("")).alias("name"))
 
 
 def keep_first(df: DataFrame, keys: list, order: list) -> DataFrame:

@@ -10,6 +10,7 @@ from orgextract.functions import emails as e
 from orgextract.functions import urls as u
 from orgextract.functions.text import is_leadership
 from orgextract.operators.nearest import keep_first
+from orgextract.operators.skew import join_counted
 
 
 def confidence(tag: Column, role: Column, profile: str = "C") -> Column:
@@ -51,6 +52,12 @@ def dedup_records(df: DataFrame, order: list[str], profile: str = "C") -> DataFr
     return keep_first(df, keys, order)
 
 
+def gate_records(df: DataFrame, valid: Column) -> DataFrame:
+    """Records of profile B: cleaned, an address that passes the gate, its confidence by extractor and role."""
+    x = clean_records(df, "B").filter(e.keep_email(F.col("email"), F.lit(""), valid, "B"))
+    return x.withColumn("confidence", confidence(F.col("found_via"), F.col("role"), "B"))
+
+
 def dedup_emails(df: DataFrame, order: list[str]) -> DataFrame:
     """The first record per lower-cased address, over all organisations."""
     return keep_first(df.withColumn("email", F.lower("email")), ["email"], order)
@@ -66,6 +73,18 @@ def email_records(df: DataFrame, valid: Column, profile: str = "C") -> DataFrame
     return x.withColumn("domain", e.email_domain(F.col("email")))
 
 
+def with_leaders_emails(emails: DataFrame, leaders: DataFrame, valid: Column, order: list[str], profile: str = "C") -> DataFrame:
+    """B2, second branch: e-mail records with one for each leadership record that has an address, tagged
+    `<tag>-email` and kept even if the mailbox is shared; the first record per address over both, in `order`,
+    e-mail records before those of leadership records that come at the same place. Both need credit_union,
+    email, source_url, found_via and the columns of `order`; `emails` are checked records (email_records)."""
+    cols = list(dict.fromkeys(["credit_union", "email", "domain", "source_url", "found_via", *order]))
+    own = leaders.filter("email <> ''").withColumn("found_via", F.concat("found_via", F.lit("-email")))
+    own = email_records(own.withColumn("keep_generic", F.lit(True)), valid, profile)
+    both = emails.select(*cols, F.lit(0).alias("_branch")).unionByName(own.select(*cols, F.lit(1).alias("_branch")))
+    return dedup_emails(both, [*order, "_branch"]).drop("_branch")
+
+
 def unified_events(emails: DataFrame, leaders: DataFrame, as_of: Column) -> DataFrame:
     """EMAIL and LEADERSHIP rows in one schema; confidence is null on EMAIL rows, '' only in a CSV."""
     org = u.org_label(F.col("credit_union"))
@@ -88,14 +107,17 @@ def unified_events(emails: DataFrame, leaders: DataFrame, as_of: Column) -> Data
 EXPORT = ["credit_union", "role", "name", "email", "domain", "source_url", "found_via"]
 
 
-def combined_export(emails: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Both kinds aligned by column, blanks for what one lacks, distinct over all but the domain.
+def combined_export(emails: DataFrame, leaders: DataFrame, order: list[str]) -> DataFrame:
+    """Both kinds aligned by column, blanks for what one lacks, the first row of those alike in all but the domain.
 
-    Leadership rows come first; rows alike are alike in all but the domain, of which the filled one stays.
+    Leadership rows come first, then e-mail rows, each in `order` (columns of both).
     """
-    both = leaders.unionByName(emails, allowMissingColumns=True)
-    both = both.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in EXPORT if c in both.columns], *[F.lit("").alias(c) for c in EXPORT if c not in both.columns])
-    return both.groupBy(*[c for c in EXPORT if c != "domain"]).agg(F.max("domain").alias("domain")).select(*EXPORT)
+    side = lambda d, kind: d.select(
+        *[(F.coalesce(F.col(c), F.lit("")) if c in d.columns else F.lit("")).alias(c) for c in EXPORT],
+        F.struct(F.lit(kind).alias("kind"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)]).alias("_order"),
+    )
+    both = side(leaders, 0).unionByName(side(emails, 1))
+    return both.groupBy(*[c for c in EXPORT if c != "domain"]).agg(F.min_by("domain", "_order").alias("domain")).select(*EXPORT)
 
 
 def role_rank(role: Column) -> Column:
@@ -111,7 +133,53 @@ def top_roles(df: DataFrame, order: list[str], n: int = 100) -> DataFrame:
 
 
 def personal_emails(emails: DataFrame) -> DataFrame:
-    """Distinct non-generic addresses; all of them if every one is generic."""
+    """Distinct non-generic addresses, sorted; all of them if every one is generic."""
     d = emails.select("email").distinct().withColumn("_g", e.is_generic(F.col("email"), "A"))
     personal = d.agg(F.count_if(~F.col("_g"))).scalar()
-    return d.filter(~F.col("_g") | (personal == 0)).select("email")
+    return d.filter(~F.col("_g") | (personal == 0)).select("email").orderBy("email")
+
+
+def leadership_first(people: DataFrame, order: list[str]) -> DataFrame:
+    """People with `leadership`, leaders before others, each in the given order."""
+    return people.withColumn("leadership", is_leadership(F.col("role"))).orderBy(F.desc("leadership"), *order)
+
+
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """L1, L4: the first n rows in a given order, a seed limit or a preview; planned as one TakeOrderedAndProject."""
+    return df.orderBy(*order).limit(n)
+
+
+def host_counts(df: DataFrame, host: str, url: str) -> DataFrame:
+    """A2: host, pages (different URLs), hits (rows). Counted by URL first, so a hot host is reduced before its sum."""
+    return df.groupBy(host, url).agg(F.count("*").alias("n")).groupBy(host).agg(F.count(F.col(url)).alias("pages"), F.sum("n").alias("hits"))
+
+
+def counters(df: DataFrame, source: str) -> DataFrame:
+    """A5: per extractor: records, different addresses, records with a role, different sources."""
+    return df.groupBy("found_via").agg(
+        F.count("*").alias("n"), F.countDistinct(F.lower("email")).alias("emails"), F.count_if(F.trim(F.col("role")) != "").alias("with_role"), F.countDistinct(source).alias("pages")
+    )
+
+
+def distinct_emails(hits: DataFrame, row: str, fold_case: bool = True) -> DataFrame:
+    """Email, the least row it stands in, hits; on profile C addresses ignore case."""
+    key = F.lower("email") if fold_case else F.col("email")
+    return hits.groupBy(key.alias("email")).agg(F.min(row).alias(row), F.count("*").alias("hits"))
+
+
+def text_lengths(texts: DataFrame, key: str) -> DataFrame:
+    """A3: key, chars: the characters over all page texts of a document (null texts count nothing)."""
+    chars = F.aggregate(F.coalesce("texts", F.array().cast("array<string>")), F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(F.length(x), F.lit(0)))
+    return texts.select(key, chars.alias("chars"))
+
+
+def within_budget(visits: DataFrame, host: str, ts: str, seconds: int) -> DataFrame:
+    """P20, I4: visits (host, ts) with `elapsed` since the host's first one and whether it is within the budget.
+
+    Other hosts go on when one is over its budget. The first visits come by a minimum per host that
+    is joined back balanced, so one host may hold a third of the visits. A null host has no budget.
+    """
+    first = visits.filter(F.col(host).isNotNull()).groupBy(host).agg(F.min(ts).alias("_first"), F.count("*").alias("_n"))
+    x = join_counted(visits, first, host, "_n", "left")
+    elapsed = F.unix_micros(F.col(ts)) / 1e6 - F.unix_micros("_first") / 1e6
+    return x.withColumn("elapsed", F.round(elapsed, 3)).withColumn("ok", F.coalesce(F.col("elapsed") <= seconds, F.lit(True))).drop("_first")

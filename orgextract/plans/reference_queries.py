@@ -20,6 +20,7 @@ from orgextract.functions.jsonld import scripts
 from orgextract.operators import announcements as ann
 from orgextract.operators import extract as ext
 from orgextract.operators import nearest, resolve
+from orgextract.operators import frontier
 from orgextract.operators.frontier import expand
 from orgextract.operators.skew import join_counted
 from orgextract.session import table
@@ -32,7 +33,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = sql.replace("{EMAIL}", _RE2_EMAIL).replace("{DENY}", _sql_list(p.PEOPLE_DENY)).replace("{GENERIC_C}", _sql_list(p.GENERIC_C)).replace("{GENERIC_A}", _sql_list(p.GENERIC_A)).replace("{ROLES_C}", p.ROLES_C).replace("{ROLES_B}", "|".join(p.ROLES_B)).replace("{DENYRX}", p.PEOPLE_DENY_PATTERN)
+            ORACLES[f.__name__] = sql.replace("{EMAIL}", _RE2_EMAIL).replace("{DENY}", _sql_list(p.PEOPLE_DENY)).replace("{GENERIC_C}", _sql_list(p.GENERIC_C)).replace("{GENERIC_A}", _sql_list(p.GENERIC_A)).replace("{ROLES_C}", p.ROLES_C).replace("{ROLES_B}", "|".join(p.ROLES_B)).replace("{DENYRX}", "|".join(p.PEOPLE_DENY_PATHS))
         return f
 
     return add
@@ -56,24 +57,32 @@ def email_scan_documents(spark: SparkSession, d: str) -> DataFrame:
   SELECT doc_id, lower(unnest(regexp_extract_all(text, '{EMAIL}'))) AS email FROM documents) GROUP BY email""")
 def email_distinct_documents(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "documents").select("doc_id", F.explode(e.find_emails(F.col("text"))).alias("email"))
-    return x.groupBy(F.lower("email").alias("email")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("hits"))
+    return resolve.distinct_emails(x, "doc_id")
 
 
-KEPT_DOMAINS = [f"promo-{i}.example" for i in (11, 17, 24, 39, 53)]
+@query(r"""SELECT email, min(doc_id) AS doc_id, count(*) AS hits FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '{EMAIL}')) AS email FROM documents) GROUP BY email""")
+def email_distinct_cased(spark: SparkSession, d: str) -> DataFrame:
+    """A6 on profiles A and B: letter case tells addresses apart."""
+    x = table(spark, d, "documents").select("doc_id", F.explode(e.find_emails(F.col("text"))).alias("email"))
+    return resolve.distinct_emails(x, "doc_id", fold_case=False)
 
 
 @query(rf"""WITH h AS (
   SELECT doc_id, generate_subscripts(m, 1) - 1 AS ord, unnest(m) AS raw FROM (
     SELECT doc_id, regexp_extract_all(text, '{_RE2_EMAIL}') AS m FROM documents)),
 k AS (SELECT doc_id, ord, lower(raw) AS email, lower(split_part(raw, '@', 2)) AS domain FROM h),
-g AS (SELECT * FROM k WHERE email <> 'user@example.com' AND (domain IN ('promo-11.example', 'promo-17.example', 'promo-24.example', 'promo-39.example', 'promo-53.example')
+v AS (SELECT domain FROM k GROUP BY domain HAVING count(DISTINCT doc_id) >= 5),
+g AS (SELECT * FROM k WHERE email <> 'user@example.com' AND (domain IN (FROM v)
       OR domain LIKE '%.coop' OR domain LIKE '%.org' OR domain LIKE '%.cu' OR domain LIKE '%creditunion%' OR domain LIKE '%fcu%' OR domain LIKE '%cu.com' OR domain LIKE '%cu.%'))
 SELECT email, domain, doc_id, 0.6 AS confidence FROM g QUALIFY row_number() OVER (PARTITION BY email ORDER BY doc_id, ord) = 1""")
 def email_kept_deduped(spark: SparkSession, d: str) -> DataFrame:
-    """The minimum slice: scan, gate by domain (P5), score (B5), first record per address."""
+    """The minimum slice: scan, gate by domain (P5; valid are domains of five documents or more), score (B5), first record per address."""
     x = table(spark, d, "documents").select("doc_id", F.posexplode(e.find_emails(F.col("text"))).alias("ord", "email"))
-    valid = F.array(*[F.lit(v) for v in KEPT_DOMAINS])
-    x = x.filter(e.keep_email(F.lower("email"), F.lit("none.invalid"), valid, "C"))
+    x = x.withColumn("email", F.lower("email")).withColumn("domain", e.email_domain(F.col("email")))
+    seen = x.select("domain", "doc_id").distinct().groupBy("domain").agg(F.count("*").alias("n"))
+    x = join_counted(x, seen.filter("n >= 5").withColumn("_known", F.lit(True)), "domain", "n", "left")
+    x = x.filter(e.keep_email(F.col("email"), F.lit("none.invalid"), F.array_compact(F.array(F.when(F.col("_known"), F.col("domain")))), "C"))
     x = resolve.dedup_emails(x, ["doc_id", "ord"])
     return x.select("email", e.email_domain(F.col("email")).alias("domain"), "doc_id", resolve.confidence(F.lit("html"), F.lit("")).alias("confidence"))
 
@@ -119,7 +128,7 @@ def tld_fix(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""WITH a AS (SELECT entry_id, source_url AS s, regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) AS n FROM leadership_entries WHERE source_url IS NOT NULL)
 SELECT entry_id, n AS netloc, regexp_extract(s, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) || '/' AS base, upper(split_part(n, '.', 1)) AS label,
- CASE WHEN regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) = '' THEN '/' ELSE regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) END AS path,
+ CASE WHEN regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) = '' THEN '/' ELSE regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) || CASE WHEN s LIKE '%/' AND regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) NOT LIKE '%/' THEN '/' ELSE '' END END AS path,
  CASE WHEN s LIKE 'https://%' THEN 'http://' || s[9:] WHEN s LIKE 'http://%' THEN 'https://' || s[8:] ELSE s END AS flipped,
  regexp_matches(s, '(?i)^https?://[^/?#]+') AS valid, lower(s) LIKE '%.pdf' AS pdf FROM a""")
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
@@ -143,7 +152,7 @@ def url_join(spark: SparkSession, d: str) -> DataFrame:
     return x.select("n_nationkey", "href", u.join_url(F.col("base"), F.col("href")).alias("url"))
 
 
-@query(r"""SELECT entry_id, CASE WHEN len(list_filter({DENY}, lambda w: contains(lower(source_url), w))) > 0 OR regexp_matches(lower(source_url), '{DENYRX}') THEN true ELSE false END AS denied,
+@query(r"""SELECT entry_id, CASE WHEN len(list_filter({DENY}, lambda w: contains(lower(source_url), w))) > 0 OR regexp_matches(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1)), '{DENYRX}') THEN true ELSE false END AS denied,
  regexp_matches(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '^/(contact|about|leadership|management|executive|board|team|staff|who-we-are|our-team|meet|people|directory|governance)') AS allowed
 FROM leadership_entries WHERE source_url IS NOT NULL""")
 def url_gates(spark: SparkSession, d: str) -> DataFrame:
@@ -224,18 +233,28 @@ def best_email(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", e.best_email(cs, name).alias("email"))
 
 
-@query(r"""SELECT p.rec_id, (email <> '' AND email <> 'user@example.com' AND (ltrim(d, 'w.') = ltrim(lower(ltrim(h, 'w.')), 'w.') OR d LIKE '%.coop' OR d LIKE '%.org' OR d LIKE '%.cu' OR d LIKE '%creditunion%' OR d LIKE '%fcu%' OR d LIKE '%cu.com' OR d LIKE '%cu.%')) AS keep_c,
- (email <> '' AND email <> 'user@example.com' AND d IN ('meridalecommons.example')) AS keep_b
-FROM (SELECT rec_id, email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)) AS d, ltrim(lower(regexp_extract(coalesce(source, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS h FROM people WHERE email IS NOT NULL) p""")
+_ORG_C = "d LIKE '%.coop' OR d LIKE '%.org' OR d LIKE '%.cu' OR d LIKE '%creditunion%' OR d LIKE '%fcu%' OR d LIKE '%cu.com' OR d LIKE '%cu.%'"
+
+
+def _org_domains(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "credit_unions").select(F.lower(F.trim("domain")).alias("domain"), F.lit(True).alias("_known")).filter("domain <> ''").distinct()
+
+
+@query(rf"""SELECT p.rec_id, (email <> '' AND email <> 'user@example.com' AND (ltrim(d, 'w.') = ltrim(lower(ltrim(h, 'w.')), 'w.') OR {_ORG_C})) AS keep_c,
+ (email <> '' AND email <> 'user@example.com' AND k) AS keep_b, (email <> '' AND email <> 'user@example.com' AND (d = n OR k OR d LIKE '%.coop' OR d LIKE '%.org' OR d LIKE '%.cu' OR d LIKE '%creditunion%')) AS keep_a
+FROM (SELECT *, d IN (SELECT lower(trim(domain, ' ')) FROM credit_unions WHERE trim(domain, ' ') <> '') AS k, ltrim(n, 'w.') AS h FROM (
+ SELECT rec_id, email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)) AS d, lower(regexp_extract(coalesce(source, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)) AS n FROM people WHERE email IS NOT NULL)) p""")
 def email_gate(spark: SparkSession, d: str) -> DataFrame:
-    m, host = F.col("email"), u.host_root(F.coalesce("source", F.lit("")))
-    none, some = F.array().cast("array<string>"), F.array(F.lit("meridalecommons.example"))
-    return table(spark, d, "people").filter("email IS NOT NULL").select(
-        "rec_id", e.keep_email(m, host, none, "C").alias("keep_c"), e.keep_email(m, host, some, "B").alias("keep_b")
+    """P5 on all profiles: C without a list, A and B with the organisations' domains."""
+    x = table(spark, d, "people").filter("email IS NOT NULL").withColumn("domain", e.email_domain(F.col("email"))).join(_org_domains(spark, d), "domain", "left")
+    m, src = F.col("email"), F.coalesce("source", F.lit(""))
+    none, listed = F.array().cast("array<string>"), F.array(F.when(F.col("_known"), F.col("domain")).otherwise("none.invalid"))
+    return x.select(
+        "rec_id", e.keep_email(m, u.host_root(src), none, "C").alias("keep_c"), e.keep_email(m, F.lit(""), listed, "B").alias("keep_b"), e.keep_email(m, u.netloc(src), listed, "A").alias("keep_a")
     )
 
 
-@query()
+@query(r"""SELECT doc_id, replace(replace(replace(replace(text, '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&') AS text FROM documents WHERE text LIKE '%&%'""")
 def html_unescape(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").filter(F.contains("text", F.lit("&"))).select("doc_id", e.html_unescape(F.col("text")).alias("text"))
 
@@ -277,11 +296,12 @@ def span_offsets(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("match")).alias("chars"))
 
 
-@query(r"""WITH m AS (SELECT doc_id, text, regexp_extract(text, '{EMAIL}') AS e FROM documents WHERE text LIKE '%@%'),
+@query(r"""WITH m AS (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(text, '{EMAIL}'))) AS e FROM documents WHERE text LIKE '%@%'),
 w AS (SELECT doc_id, e, substr(text, greatest(instr(text, e) - 400, 1), instr(text, e) + len(e) + 200 - greatest(instr(text, e) - 400, 1)) AS w FROM m WHERE e <> '')
-SELECT doc_id, e AS email, len(list_filter(string_split_regex(w, '[\n\r,;•·|\-]'), lambda x: trim(x, E' \t\n\r ') <> '')) AS chunks, len(w) AS chars FROM w""")
+SELECT doc_id, e AS email, len(list_filter(string_split_regex(w, '[\n\r,;•·|\-]'), lambda x: trim(x, E' \t\n\r ') <> '')) AS chunks, len(w) AS chars FROM w""")
 def email_windows(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "documents").select("doc_id", "text", F.get(e.find_emails(F.col("text")), F.lit(0)).alias("email")).filter("email IS NOT NULL")
+    """T10, T12 (C): the window around the first place of every address of a text."""
+    x = table(spark, d, "documents").select("doc_id", "text", F.explode(F.array_distinct(e.find_emails(F.col("text")))).alias("email"))
     x = x.withColumn("w", t.window_around(F.col("text"), F.col("email"), 400, 200))
     return x.select("doc_id", "email", F.size(t.chunks(F.col("w"))).alias("chunks"), F.length("w").alias("chars"))
 
@@ -352,10 +372,9 @@ def jsonld(spark: SparkSession, d: str) -> DataFrame:
 def structured_block(spark: SparkSession, d: str) -> DataFrame:
     """X7, corrected: only the role ignores case, so a name never takes in the address."""
     k = F.col("c_custkey")
-    line = F.concat(F.when(k % 2 == 0, "CEO Ann Leeds ann").otherwise("loan officer · Ann Leeds: ann"), k.cast("string"), F.lit("@x.org"))
-    x = table(spark, d, "customer").select("c_custkey", line.alias("line"))
-    part = lambda i: F.regexp_extract("line", p.STRUCTURED, i)
-    return x.select("c_custkey", part(1).alias("role"), part(2).alias("name"), part(3).alias("email"))
+    line = F.concat(F.when(k % 2 == 0, "<p>CEO Ann Leeds ann").otherwise("<p>loan officer · Ann Leeds: ann"), k.cast("string"), F.lit("@x.org</p>"))
+    pages = table(spark, d, "customer").select(k.alias("page_id"), F.lit("https://x.org/").alias("source_url"), line.alias("html"))
+    return ext.structured_people(pages).select(F.col("page_id").alias("c_custkey"), "role", "name", "email")
 
 
 @query(r"""SELECT n_nationkey, 'CEO' AS role, 'Ann ' || substr(n_name, 1, 1) || lower(substr(n_name, 2)) AS context_name, 'ann' || n_nationkey || '@cu.org' AS email FROM nation WHERE NOT regexp_matches(n_name, ' ')""")
@@ -435,13 +454,13 @@ def unified_events(spark: SparkSession, d: str) -> DataFrame:
     return resolve.unified_events(emails, leaders, as_of)
 
 
-@query(r"""SELECT coalesce(credit_union, '') AS credit_union, coalesce(role, '') AS role, coalesce(name, '') AS name, coalesce(email, '') AS email, max(domain) AS domain, coalesce(source_url, '') AS source_url, coalesce(found_via, '') AS found_via
-FROM (SELECT credit_union, role, name, email, '' AS domain, source_url, found_via FROM leadership_entries
-UNION ALL SELECT '', '', '', email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)), source, found_via FROM people WHERE email IS NOT NULL) GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4, 6, 7"))
+@query(r"""SELECT coalesce(credit_union, '') AS credit_union, coalesce(role, '') AS role, coalesce(name, '') AS name, coalesce(email, '') AS email, arg_min(domain, struct_pack(kind := kind, id := id)) AS domain, coalesce(source_url, '') AS source_url, coalesce(found_via, '') AS found_via
+FROM (SELECT 0 AS kind, entry_id AS id, credit_union, role, name, email, '' AS domain, source_url, found_via FROM leadership_entries
+UNION ALL SELECT 1, rec_id, '', '', '', email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)), source, found_via FROM people WHERE email IS NOT NULL) GROUP BY 1, 2, 3, 4, 6, 7""")
 def combined_export(spark: SparkSession, d: str) -> DataFrame:
-    leaders = table(spark, d, "leadership_entries").select("credit_union", "role", "name", "email", "source_url", "found_via")
-    emails = table(spark, d, "people").filter("email IS NOT NULL").select("email", e.email_domain(F.col("email")).alias("domain"), F.col("source").alias("source_url"), "found_via")
-    return resolve.combined_export(emails, leaders)
+    leaders = table(spark, d, "leadership_entries").select(F.col("entry_id").alias("id"), "credit_union", "role", "name", "email", "source_url", "found_via")
+    emails = table(spark, d, "people").filter("email IS NOT NULL").select(F.col("rec_id").alias("id"), "email", e.email_domain(F.col("email")).alias("domain"), F.col("source").alias("source_url"), "found_via")
+    return resolve.combined_export(emails, leaders, ["id"])
 
 
 @query(r"""SELECT entry_id, role, CASE WHEN r LIKE '%chief executive officer%' OR r LIKE '%ceo%' THEN 0 WHEN r LIKE '%president%' THEN 1 WHEN r LIKE '%cfo%' THEN 2 WHEN r LIKE '%coo%' THEN 3 WHEN r LIKE '%vp%' THEN 4 ELSE 9 END AS rank
@@ -460,9 +479,7 @@ def personal_emails(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""SELECT found_via, count(*) AS n, count(DISTINCT lower(email)) AS emails, count(*) FILTER (role IS NOT NULL AND trim(role) <> '') AS with_role, count(DISTINCT source) AS pages FROM people GROUP BY found_via""")
 def extractor_counters(spark: SparkSession, d: str) -> DataFrame:
     """A2, A5: counters per extractor."""
-    return table(spark, d, "people").groupBy("found_via").agg(
-        F.count("*").alias("n"), F.countDistinct(F.lower("email")).alias("emails"), F.count_if(F.trim(F.col("role")) != "").alias("with_role"), F.countDistinct("source").alias("pages")
-    )
+    return resolve.counters(table(spark, d, "people"), "source")
 
 
 # ---------------------------------------------------------------- links, frontier, caps
@@ -481,36 +498,37 @@ def crawl_bfs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""SELECT host, url FROM (SELECT DISTINCT regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) AS host, regexp_replace(regexp_replace(source_url, '(?s)#.*$', ''), '/$', '') AS url FROM leadership_entries WHERE source_url LIKE 'http%')
-QUALIFY row_number() OVER (PARTITION BY host ORDER BY url) <= 3""")
+QUALIFY row_number() OVER (PARTITION BY host ORDER BY url) <= 50""")
 def host_page_cap(spark: SparkSession, d: str) -> DataFrame:
-    """At most three pages per host, in URL order."""
+    """At most fifty pages per host, in URL order."""
     s = F.col("source_url")
     x = table(spark, d, "leadership_entries").filter(F.startswith(s, F.lit("http"))).select(u.netloc(s).alias("host"), u.canonical_url(s).alias("url")).distinct()
-    return nearest.cap_per_key(x, "host", ["url"], 3)
+    return nearest.cap_per_key(x, "host", ["url"], p.PROFILES["A"].page_cap)
 
 
 @query(r"""SELECT host, count(DISTINCT url) AS pages, count(*) AS hits FROM (SELECT regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) AS host, source_url AS url FROM leadership_entries WHERE source_url LIKE 'http%') GROUP BY host""")
 def host_page_counts(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("source_url")
     x = table(spark, d, "leadership_entries").filter(F.startswith(s, F.lit("http"))).select(u.netloc(s).alias("host"), s.alias("url"))
-    return x.groupBy("host", "url").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("pages"), F.sum("n").alias("hits"))
+    return resolve.host_counts(x, "host", "url")
 
 
 _LINK = r"https?://[^\s<>\[\]\"]+"
 
 
 @query(rf"""SELECT doc_id, url FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{_LINK}'))) AS url FROM documents) WHERE NOT lower(url) LIKE '%.pdf'
- AND len(list_filter({{DENY}}, lambda w: contains(lower(url), w))) = 0 AND NOT regexp_matches(lower(url), '{{DENYRX}}')""".replace("{{", "{").replace("}}", "}"))
+ AND len(list_filter({{DENY}}, lambda w: contains(lower(url), w))) = 0 AND NOT regexp_matches(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1)), '{{DENYRX}}')""".replace("{{", "{").replace("}}", "}"))
 def link_discovery(spark: SparkSession, d: str) -> DataFrame:
     """Absolute links of a text, once each, without denied ones and PDFs."""
     x = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_LINK), 0))).alias("url"))
     return x.filter(~u.is_pdf(F.col("url")) & ~u.is_denied(F.col("url")))
 
 
-@query(rf"""SELECT doc_id, pos, url FROM (SELECT doc_id, unnest(l) AS url, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '{_LINK}')[1:2] AS l FROM documents))""")
+@query(rf"""SELECT doc_id, pos, url FROM (SELECT doc_id, unnest(l) AS url, generate_subscripts(l, 1) AS pos FROM (
+  SELECT doc_id, list_transform(list_sort(list_transform(list_distinct(m), lambda x: struct_pack(p := list_position(m, x), u := x))), lambda x: x.u)[1:40] AS l FROM (SELECT doc_id, regexp_extract_all(text, '{_LINK}') AS m FROM documents)))""")
 def link_fanout_cap(spark: SparkSession, d: str) -> DataFrame:
-    """L3, A10: the first two links of each text, in order."""
-    x = table(spark, d, "documents").select("doc_id", F.posexplode(F.slice(F.regexp_extract_all("text", F.lit(_LINK), 0), 1, 2)).alias("p", "url"))
+    """L3, A10: the first forty different links of each text, in order."""
+    x = table(spark, d, "documents").select("doc_id", F.posexplode(F.slice(F.array_distinct(F.regexp_extract_all("text", F.lit(_LINK), 0)), 1, p.PROFILES["C"].fanout)).alias("p", "url"))
     return x.select("doc_id", (F.col("p") + 1).alias("pos"), "url")
 
 
@@ -525,11 +543,13 @@ def announcement_flag(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "leadership_changes_rss").select("change_id", t.is_announcement(F.concat_ws(" ", "Title", "Link")).alias("hit"))
 
 
-@query(r"""SELECT DISTINCT Title, Link FROM leadership_changes_rss c WHERE run_no = 8 AND NOT EXISTS (SELECT 1 FROM leadership_changes_rss p WHERE p.run_no = 7 AND p.Title = c.Title AND p.Link = c.Link)""")
+@query(r"""WITH r AS (SELECT DISTINCT feed_id, run_no FROM leadership_changes_rss), n AS (SELECT feed_id, run_no, lag(run_no) OVER (PARTITION BY feed_id ORDER BY run_no) AS prev FROM r)
+SELECT c.change_id FROM leadership_changes_rss c JOIN n USING (feed_id, run_no)
+WHERE NOT EXISTS (SELECT 1 FROM leadership_changes_rss p WHERE p.feed_id = c.feed_id AND p.run_no = n.prev AND p.Title = c.Title AND p.Link = c.Link)""")
 def announcement_new(spark: SparkSession, d: str) -> DataFrame:
-    """JN1, I5: rows of the last run that the run before didn't hold."""
-    x = table(spark, d, "leadership_changes_rss").select("run_no", "Title", "Link")
-    return ann.new_rows(x.filter("run_no = 8"), x.filter("run_no = 7")).select("Title", "Link").distinct()
+    """JN1, I5 over every run of every feed: rows the run before in the feed didn't hold."""
+    x = table(spark, d, "leadership_changes_rss").select("change_id", "feed_id", "run_no", "Title", "Link")
+    return ann.new_per_run(x, ["feed_id"], "run_no").select("change_id")
 
 
 @query(r"""SELECT change_id, CASE WHEN Persons IS NULL OR Persons = '' THEN 'N/A' ELSE Persons END AS Persons FROM leadership_changes_rss""")
@@ -594,7 +614,8 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return ext.links(_pages(spark, d)).filter("NOT url LIKE '%/team/%'").select("page_id", "pos", "url")
 
 
-@query(r"""WITH d AS (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(text, '{EMAIL}'))) AS email FROM documents WHERE text LIKE '%@%'),
+@query(r"""WITH t AS (SELECT doc_id, replace(replace(replace(replace(text, '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&') AS text FROM documents WHERE text LIKE '%@%'),
+d AS (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(text, '{EMAIL}'))) AS email FROM t),
 w AS (SELECT doc_id, email, [trim(x, E' \t\n\r') FOR x IN string_split_regex(substr(text, greatest(instr(text, email) - 400, 1), instr(text, email) + len(email) + 200 - greatest(instr(text, email) - 400, 1)), '[\n\r,;•·|\-]')] AS c FROM d),
 r AS (SELECT doc_id, email, coalesce([regexp_extract(x, '{ROLES_C}', 1) FOR x IN c IF regexp_extract(x, '{ROLES_C}', 1) <> ''][1], '') AS role,
   coalesce([regexp_extract(x, '{NAME_C}', 1) FOR x IN [regexp_replace(y, '[ªµºÀ-ÖØ-öø-ɏ]', '_', 'g') FOR y IN c] IF regexp_extract(x, '{NAME_C}', 1) <> ''][1], '') AS name FROM w)
@@ -616,14 +637,17 @@ def attach_org(spark: SparkSession, d: str) -> DataFrame:
     return join_counted(rows, org.join(counts, "k"), "k", "n").select("entry_id", "org_id")
 
 
-@query(r"""SELECT rec_id, email, domain FROM (SELECT rec_id, lower(email) AS email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)) AS domain,
-  ltrim(lower(regexp_extract(coalesce(source, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS host FROM people WHERE regexp_full_match(coalesce(email, ''), '{EMAIL}'))
-WHERE email <> 'user@example.com' AND (ltrim(domain, 'w.') = ltrim(host, 'w.') OR domain IN ('meridalecommons.example') OR domain LIKE '%.coop' OR domain LIKE '%.org' OR domain LIKE '%.cu' OR domain LIKE '%creditunion%' OR domain LIKE '%fcu%' OR domain LIKE '%cu.com' OR domain LIKE '%cu.%')
-QUALIFY row_number() OVER (PARTITION BY email ORDER BY rec_id) = 1""")
+@query(rf"""SELECT rec_id, email, d AS domain FROM (SELECT rec_id, found_via, lower(email) AS email, lower(regexp_extract(email, '(?s)^[^@]*@(.*)$', 1)) AS d,
+  ltrim(lower(regexp_extract(coalesce(source, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), 'w.') AS host FROM people WHERE regexp_full_match(coalesce(email, ''), '{{EMAIL}}'))
+WHERE email <> 'user@example.com' AND (ltrim(d, 'w.') = ltrim(host, 'w.') OR d IN (SELECT lower(trim(domain, ' ')) FROM credit_unions WHERE trim(domain, ' ') <> '') OR {_ORG_C})
+ AND NOT (list_contains({{GENERIC_C}}, split_part(email, '@', 1)) AND NOT (contains(found_via, 'leadership') OR contains(found_via, 'json-ld') OR contains(found_via, 'pdf-window')))
+QUALIFY row_number() OVER (PARTITION BY email ORDER BY rec_id) = 1""".replace("{{", "{").replace("}}", "}"))
 def email_records(spark: SparkSession, d: str) -> DataFrame:
-    """B1, P5, A7 over person records: validated, gated against the source's host, first per address."""
-    x = table(spark, d, "people").select("rec_id", F.lower("email").alias("email"), F.coalesce("source", F.lit("")).alias("source_url"), F.lit("leadership").alias("found_via"))
-    x = resolve.email_records(x, F.array(F.lit("meridalecommons.example")))
+    """B1, P5, P7, A7 over person records: validated, gated against the source's host and the organisations' domains,
+    shared mailboxes only from extractors that hint at a person, first per address."""
+    x = table(spark, d, "people").select("rec_id", F.lower("email").alias("email"), F.coalesce("source", F.lit("")).alias("source_url"), F.coalesce("found_via", F.lit("")).alias("found_via"))
+    x = x.withColumn("domain", e.email_domain(F.col("email"))).join(_org_domains(spark, d), "domain", "left")
+    x = resolve.email_records(x, F.array(F.when(F.col("_known"), F.col("domain")).otherwise("none.invalid")))
     return resolve.dedup_emails(x, ["rec_id"]).select("rec_id", "email", "domain")
 
 
@@ -635,11 +659,10 @@ def name_from_url(spark: SparkSession, d: str) -> DataFrame:
     return x.select("org_id", u.name_from_url(F.col("url")).alias("name"))
 
 
-@query(r"""SELECT rec_id, name FROM people WHERE list_contains(['example'], 'x') OR (role IS NOT NULL AND regexp_matches(role, '(?i)^(?:chief executive officer|ceo|president|chief financial officer|cfo|chief operating officer|coo|chief information officer|cio|chief technology officer|cto|chief risk officer|cro|chief lending officer|clo|chief marketing officer|cmo|executive vice president|evp|senior vice president|svp|vice president|vp|board chair|chair)$') AND email IS NOT NULL)""")
+@query(rf"""SELECT rec_id, name FROM people WHERE email <> '' AND len(list_filter({_sql_list(sorted({x.lower() for x in p.SENIOR_TITLES}))}, lambda t: contains(lower(role), t))) > 0""")
 def senior_found(spark: SparkSession, d: str) -> DataFrame:
-    """Records with a senior title and an address, which end a site's expansion."""
-    titles = F.array(*[F.lit(s.lower()) for s in p.SENIOR_TITLES])
-    return table(spark, d, "people").filter("email IS NOT NULL").filter(F.array_contains(titles, F.lower("role"))).select("rec_id", "name")
+    """Records with a senior title anywhere in the role and an address, which end a site's expansion."""
+    return frontier.senior_records(table(spark, d, "people")).select("rec_id", "name")
 
 
 @query(r"""SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL""")

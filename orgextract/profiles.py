@@ -16,9 +16,13 @@ PEOPLE_ALLOW = ["about", "leadership", "board", "management", "executive", "team
                 "employment", "who-we-are", "locations", "branch", "community"]
 PEOPLE_DENY = ["checking", "savings", "loans", "mortgage", "auto", "credit-card", "rates", "calculator", "re-order", "personal-loans",
                "student-loans", "apply", "specials", "promo", "blog", "faq"]
-PEOPLE_DENY_PATTERN = r"(?i)/accounts/.*|/loans/.*|/loan-.*|.*/calculator.*|.*/rates.*"
+#: Tested on the path alone; the words above on the whole URL.
+PEOPLE_DENY_PATHS = ["/accounts/", "/loans/", "/loan-", "/calculator", "/rates"]
 TEXT_CONTENT_TYPES = ["text/html", "application/json", "text/plain", "application/xhtml+xml", "application/xml"]
-BLOCKED_RESOURCES = r"(?i)\.(?:png|jpe?g|gif|svg|webp|ico|woff2?|ttf|otf|mp4|webm)(?:\?|$)|google-analytics|googletagmanager|doubleclick|facebook\.net|hotjar"
+#: Requests a crawl doesn't make, on any profile, and the tracker that only B and C list.
+BLOCKED = [r"\.(?:png|jpe?g|gif|webp|svg|ico)(?:\?.*)?$", r"\.(?:woff2?|ttf|otf)(?:\?.*)?$", r"/(?:gtm|googletagmanager)\.com/", r"/google-analytics\.com/",
+           r"doubleclick\.net/", r"/facebook\.com/tr/", r"/hotjar\.com/"]
+BLOCKED_BC = [*BLOCKED, r"/snapchat\.com/"]
 
 # E-mail family.
 EMAIL = r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"
@@ -72,6 +76,17 @@ CONFIDENCE_B = {"HTML": (0.5, 0.7), "network": (0.5, 0.7), "pdf": (0.5, 0.8), "s
                 "cfemail": (0.7, 0.7), "onclick": (0.7, 0.7)}
 
 
+# Site-specific blocks, and headings that lead to one.
+STRICT_A = r"(?i:(?:\b(Chief\s+Executive\s+Officer|CEO|President)\b))\s*([A-Z][A-Za-z.'\-]+(?:\s+[A-Z][A-Za-z.'\-]+)+)\s+([A-Za-z0-9._%+\-\s]+@\s*[A-Za-z0-9.\-]+\s*\.\s*[A-Za-z]{2,})"
+TEXT_B = r"(?is)\b(CEO|Loan\s*Officer|Member\s*Services)\b[\s:\-]*([A-Za-z][A-Za-z .'\-]+?)[\s:\-]+([A-Za-z0-9._%+-]+@{domain})\b"
+STAFF_HEADING = "meet our staff"
+OTHER_HEADINGS = ["meet our team", "leadership"]
+CLICK_HERE = "click here"
+PROTECTED_LINK = "/cdn-cgi/l/email-protection"
+#: Marks in a path (A) or URL (B) of pages a site's own extractor reads.
+HOOK_MARKS_A, HOOK_MARKS_B = ["/contact", "/staff"], ["/support", "/contact"]
+
+
 @dataclass(frozen=True)
 class Profile:
     name: str

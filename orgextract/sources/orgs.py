@@ -65,7 +65,9 @@ def seeds(df: DataFrame) -> DataFrame:
     order = [url] if url else []
     raw = first_url(order + [c for c in df.columns if c != url])
     label = F.nullif(u.strip(F.col(f"`{name}`")), F.lit("")) if name else F.lit(None).cast("string")
-    x = df.withColumn("_raw", raw).filter("_raw IS NOT NULL").select(label.alias("name"), u.normalize_url(F.col("_raw")).alias("url"), F.monotonically_increasing_id().alias("_o"))
+    x = df.withColumn("_raw", raw).filter("_raw IS NOT NULL").withColumn("_o", F.monotonically_increasing_id())
+    # a generator, so that the filter isn't pushed down to where the URL would be computed again
+    x = x.select(label.alias("name"), F.explode(F.array(u.normalize_url(F.col("_raw")))).alias("url"), "_o")
     x = x.filter("url <> ''").withColumn("name", F.coalesce("name", u.name_from_url(F.col("url")))).withColumn("_h", u.host_root(F.col("url")))
     return keep_first(x, ["_h"], ["_o"]).select("name", "url")
 

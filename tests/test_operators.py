@@ -87,3 +87,55 @@ def test_join_split_matches_plain_join(spark):
     assert sorted(map(tuple, plan.select("k", "a", "b").collect())) == want
     assert join_split(left, right, ["k"]).count() == len(want)
     assert join_split(left, right.filter("false"), ["k"], least=10).count() == 0
+
+
+def test_neighbour_line_rules(spark):
+    rows = [
+        (1, 0, "CEO", ""), (1, 1, "", "Ann"), (1, 2, "", ""), (1, 8, "CFO", ""), (1, 9, "", "Bo"), (1, 7, "", "Cy"),
+        (2, 0, "CEO", "Ann"), (2, 1, "Online Banking Manager", ""), (2, 2, "CFO", "Bo"), (3, 0, "VP", ""), (4, 0, "", "Di"),
+    ]
+    df = spark.createDataFrame(rows, "k int, line_no int, role string, name string")
+    got = {r.k: (r.role, r.name) for r in nearest.neighbour_line(df, "k", 5, lambda c: F.lower(c).contains("online banking")).collect()}
+    assert got == {1: ("CFO", "Bo"), 2: ("", "Ann"), 3: ("VP", ""), 4: ("", "Di")}
+    assert nearest.neighbour_line(df.filter("false"), "k").count() == 0
+
+
+def test_expansion_goes_on_from_a_saved_state(spark):
+    links = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (0, 4), (4, 5), (5, 0)], "src int, dst int")
+    seeds = spark.createDataFrame([(0,)], "node int")
+    whole = sorted(tuple(r) for r in expand(links, seeds, 3).collect())
+    early = expand(links, seeds, 1)
+    frontier = spark.createDataFrame([(2, 2), (5, 2), (1, 5)], "node int, depth int")
+    assert sorted(tuple(r) for r in expand(links, frontier, 3, visited=early).collect()) == whole
+    assert sorted(tuple(r) for r in expand(links, frontier.filter("false"), 3, visited=early).collect()) == sorted(tuple(r) for r in early.collect())
+
+
+def test_a_finished_site_is_left(spark):
+    links = spark.createDataFrame([("a/0", "a/1"), ("a/1", "a/2"), ("a/0", "b/0"), ("b/0", "b/1"), ("b/1", "a/3")], "src string, dst string")
+    seeds = spark.createDataFrame([("a/0",)], "node string")
+    site = lambda c: F.substring_index(c, "/", 1)
+    senior = lambda level: level.filter("node = 'a/1'").select(site(F.col("node")).alias("site"))
+    got = sorted(r.node for r in expand(links, seeds, 5, site=site, finished=senior).collect())
+    assert got == ["a/0", "a/1", "b/0", "b/1"]
+
+
+def test_budget_and_counters(spark):
+    df = spark.createDataFrame([("h", 0), ("h", 299), ("h", 301), ("g", 500), (None, 1)], "host string, s int").selectExpr("host", "timestamp_seconds(s) AS ts")
+    got = {(r.host, r.elapsed, r.ok) for r in resolve.within_budget(df, "host", "ts", 300).collect()}
+    assert got == {("h", 0.0, True), ("h", 299.0, True), ("h", 301.0, False), ("g", 0.0, True), (None, None, True)}
+    texts = spark.createDataFrame([(1, ["ab", None, "c"]), (2, None)], "id int, texts array<string>")
+    assert {r.id: r.chars for r in resolve.text_lengths(texts, "id").collect()} == {1: 3, 2: 0}
+
+
+def test_entities_of_an_entry(spark):
+    df = spark.createDataFrame([(1, "Ann Bo named CEO", "of Red Oak Credit Union, says Cy Moss", "l"), (2, None, "", None)], "id int, title string, description string, link string")
+    got = {r.id: (r.persons, r.organizations) for r in announcements.with_entities(df, "id").collect()}
+    assert got[2] == ([], []) and got[1][1] == ["Red Oak Credit Union"] and got[1][0][0] == "Ann Bo"
+
+
+def test_leaders_addresses_become_events(spark):
+    schema = "credit_union string, email string, source_url string, found_via string, role string, id int"
+    x = spark.createDataFrame([("A", "info@a.org", "https://a.org/", "html-context", "CEO", 2), ("A", "ann@a.org", "https://a.org/", "json-ld", "", 3), ("A", "", "https://a.org/", "json-ld", "", 4)], schema)
+    plain = resolve.email_records(spark.createDataFrame([("A", "info@a.org", "https://a.org/", "html", "", 1), ("A", "Ann@a.org", "https://a.org/", "html", "", 3)], schema), F.array().cast("array<string>"))
+    got = {(r.email, r.found_via) for r in resolve.with_leaders_emails(plain, x, F.array().cast("array<string>"), ["id"]).collect()}
+    assert got == {("info@a.org", "html-context-email"), ("ann@a.org", "html")}

@@ -35,7 +35,11 @@ def test_pdf_gate_and_ocr_trigger(spark, tmp_path):
     df = documents.read_pdfs(spark, str(tmp_path))
     assert df.count() == 1 and documents.read_pdfs(spark, str(tmp_path), 3).count() == 0
     got = documents.pdf_texts(df, 3, lambda c, n: ["short"], lambda c: ["from the picture"]).first()
-    assert got.texts == ["from the picture"]
+    assert got.texts == ["short"] and got.ocr_texts == ["from the picture"]
+    got = documents.pdf_texts(df, 3, lambda c, n: [], lambda c: ["from the picture"]).first()
+    assert got.texts == got.ocr_texts == ["from the picture"]
+    assert documents.pdf_texts(df, 3, lambda c, n: ["long " * 99], lambda c: ["x"]).first().ocr_texts == []
+    assert documents.pdf_texts(df, 3, documents.native_texts).first().texts == []
 
 
 def test_sinks(spark, tmp_path):
@@ -57,3 +61,87 @@ def test_stream_monitor(spark, tmp_path):
     q.awaitTermination(60)
     time.sleep(0.2)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_atom_and_missing_feeds(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<feed><entry><title>Bo appointed</title><link rel="self" href="https://s"/><link href="https://b"/><summary>x</summary></entry><entry><title>y</title></entry></feed>')
+    (tmp_path / "r.xml").write_text("<rss><channel><item><title>t</title><link>https://r</link></item></channel></rss>")
+    (tmp_path / "bad.xml").write_text("<rss><item><title>t</ti")
+    paths = [f"{tmp_path}/{n}.xml" for n in ("a", "r", "bad", "none")]
+    got = sorted(tuple(r) for r in feeds.read_feed(spark, paths).collect())
+    assert got == [("Bo appointed", "x", "https://b"), ("t", "", "https://r"), ("y", "", "")]
+    assert feeds.read_feed(spark, [f"{tmp_path}/none.xml"]).count() == 0
+
+
+def test_pdf_responses_and_retry(spark):
+    row = lambda u, status=200, kind="text/html", length=1, sec=1.0, content=b"x": (u, status, kind, length, sec, content)
+    rows = [row("a.pdf"), row("b", kind="application/pdf; x"), row("c"), row("d.pdf", 404), row("e.PDF", length=9_000_000), row("f.pdf", content=b"y" * 4_194_305), row("g.pdf", sec=26.0), row("h.pdf", content=None), row("i.pdf", kind=None, length=None, sec=None)]
+    df = spark.createDataFrame(rows, "url string, status int, content_type string, content_length long, seconds double, content binary")
+    assert sorted(r.path for r in documents.pdf_responses(df).collect()) == ["a.pdf", "b", "i.pdf"]
+    assert sorted(r.path for r in documents.pdf_responses(df, None, None).collect()) == ["a.pdf", "b", "e.PDF", "f.pdf", "g.pdf", "i.pdf"]
+    wanted = spark.createDataFrame([("https://a",), ("http://b",), ("https://c",), (None,)], "url string")
+    pages = spark.createDataFrame([("https://a", "ok", "A"), ("https://b", "ok", None), ("http://b", "failed", "x"), ("https://c", "failed", "x")], "url string, status string, html string")
+    got = {r.url: (r.source_url, r.html) for r in documents.fetched_pages(wanted, pages).collect()}
+    assert got == {"https://a": ("https://a", "A"), "http://b": ("https://b", None), "https://c": (None, None), None: (None, None)}
+
+
+def test_text_responses(spark):
+    rows = [("https://a.org/", "https://a.org/x", "text/html; charset=x"), ("https://a.org/", "https://b.org/", "text/html"), ("https://a.org/", "https://a.org/p.png", "text/plain"), ("https://a.org/", "https://a.org/y", "image/png"), ("https://a.org/", "https://a.org/z", None)]
+    df = spark.createDataFrame(rows, "base string, url string, content_type string")
+    assert [r.url for r in documents.text_responses(df, "base").collect()] == ["https://a.org/x"]
+
+
+def test_prepared_image():
+    import numpy as np
+
+    x = np.linspace(60, 120, 400).reshape(20, 20)
+    y = documents.prepared_image(np.stack([x] * 3, axis=-1))
+    assert y.shape == (20, 20) and y.min() == 0 and y.max() == 255
+    assert documents.prepared_image(x, 100).size <= 100 and documents.prepared_image(np.zeros((0, 3))).size == 0
+    assert documents.prepared_image(np.full((4, 4), 7)).tolist() == [[7] * 4] * 4
+
+
+def test_crawl_state(spark, tmp_path):
+    import pytest
+
+    path = f"file://{tmp_path}/state"
+    nodes = spark.createDataFrame([("a", 0), ("b", 1)], "node string, depth int")
+    sites = spark.createDataFrame([("h", 2, True)], "site string, pages long, done boolean")
+    sinks.save_state(path, visited=nodes, frontier=nodes.filter("false"), sites=sites)
+    before = sinks.load_state(spark, path, "visited")
+    sinks.save_state(path, visited=before.unionByName(spark.createDataFrame([("c", 2)], "node string, depth int")))
+    assert before.count() == 2 and sinks.load_state(spark, path, "visited").count() == 3
+    assert sinks.load_state(spark, path, "frontier").count() == 0 and sinks.load_state(spark, path, "sites").count() == 0
+    (tmp_path / "state" / "3" / "visited").mkdir(parents=True)  # an unfinished generation
+    assert sinks.load_state(spark, path, "visited").count() == 3
+    (tmp_path / "state" / "3" / "_DONE").write_text("")
+    with pytest.raises(Exception):
+        (tmp_path / "state" / "3" / "visited" / "x.parquet").write_text("no parquet")
+        sinks.load_state(spark, path, "visited").count()
+    sinks.reset_state(spark, path)
+    sinks.reset_state(spark, path)
+    assert sinks.load_state(spark, path, "visited").count() == 0
+    state = sinks.encode_state(nodes).unionByName(spark.createDataFrame([("{bad",)], "state string"))
+    assert sorted(tuple(r) for r in sinks.decode_state(state, "node string, depth int").filter("node IS NOT NULL").collect()) == [("a", 0), ("b", 1)]
+
+
+def test_exports_and_reports(spark, tmp_path):
+    rows = [("CEO", "Ann", "b@x.org", "u", "html", 0.9), (None, "Bo", "a@x.org", "u", "html", None), ("", "Cy", "", "u", "html", 0.5), ("VP", "Di", "a@x.org", "v", "html", 0.5)]
+    df = spark.createDataFrame(rows, "role string, name string, email string, source string, found_via string, confidence double")
+    paths = sinks.export_results(df, str(tmp_path), "20250101_000000")
+    assert paths["people_csv"].endswith("people_20250101_000000.csv")
+    assert [r.email for r in spark.read.json(paths["emails_json"]).collect()] == ["a@x.org", "b@x.org"]
+    assert spark.read.option("header", True).csv(paths["people_csv"]).count() == 4
+    assert sinks.report(df.orderBy("name"), ["role", "name"], 2) == ["CEO · Ann", " · Bo"]
+    for _ in range(2):
+        sinks.append_csv(df, f"{tmp_path}/all", "r1")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/all").count() == 4
+
+
+def test_rotating_log(tmp_path):
+    from orgextract.streaming.progress import setup_logging
+
+    log = setup_logging(str(tmp_path), "orgextract-test")
+    log.info("seen")
+    assert setup_logging(str(tmp_path), "orgextract-test") is log and len(log.handlers) == 2
+    assert (tmp_path / "orgextract-test.log").read_text().strip() == "seen"
