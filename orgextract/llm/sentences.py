@@ -54,17 +54,28 @@ _GREETING = r"(?i)^[>\s]*(?:hi|hello|hey|dear|hallo|liebe|lieber|bonjour|salut|h
 _GOING_ON = "near|at|in|on|to|and|but|or|for|from|until|till|with|by|when|while|sharp|today|tomorrow|yesterday"
 
 
-def _each_span(df: DataFrame, pattern: str, change) -> DataFrame:
+def _holds(*parts: str) -> Column:
+    found = F.contains("_t", F.lit(parts[0]))
+    for part in parts[1:]:
+        found = found | F.contains("_t", F.lit(part))
+    return found
+
+
+def _each_span(df: DataFrame, pattern: str, change, *needs: str) -> DataFrame:
     """_t with `change` applied to every match of the pattern. Spans and gaps are columns of their own,
-    so a text is matched once however deep the chain of steps is."""
-    df = df.withColumn("_spans", F.regexp_extract_all("_t", F.lit(pattern), 0)).withColumn("_gaps", F.split("_t", pattern, -1))
+    so a text is matched once however deep the chain of steps is. Every match holds one of `needs`; a text
+    without them isn't taken apart."""
+    held = _holds(*needs)
+    df = df.withColumn("_spans", F.when(held, F.regexp_extract_all("_t", F.lit(pattern), 0)))
+    df = df.withColumn("_gaps", F.when(F.size("_spans") > 0, F.split("_t", pattern, -1)))
     joined = F.zip_with("_gaps", "_spans", lambda g, s: F.concat(g, F.coalesce(change(s), F.lit(""))))
-    return df.withColumn("_t", F.array_join(joined, "")).drop("_spans", "_gaps")
+    return df.withColumn("_t", F.when(F.col("_gaps").isNull(), F.col("_t")).otherwise(F.array_join(joined, ""))).drop("_spans", "_gaps")
 
 
 def _lines(df: DataFrame) -> DataFrame:
     """Turns newlines that end a unit into cuts: blank lines, quote depth, list entries, greetings, signature marks."""
     depth = lambda x: F.length(F.regexp_replace(F.regexp_extract(x, rf"^[>\s{SOFT}]*", 0), "[^>]", ""))
+    odd = lambda x: x.rlike(rf"^[>\s{SOFT}{NBSP}]*+(?:$|[-*•–+_~\d])")  # noqa: E731  what the next tests need
     blank = lambda x: x.rlike(rf"^[>\s{SOFT}{NBSP}]*$")
     entry = lambda x: x.rlike(rf"^[>\s{SOFT}]*(?:[-*•–+]|\d{{1,3}}[.)](?!\s+(?:{_MONTHS})))\s+\S")
     reference = lambda x: x.rlike(r"(?iu)(?:^|[\s(])(?:p|pp|no|nr|art|pág|s|n|стр|рис)\.\s*$")
@@ -76,15 +87,18 @@ def _lines(df: DataFrame) -> DataFrame:
         F.transform(
             "_l",
             lambda x: seen(
-                x.alias("x"), F.when(F.contains(x, F.lit(">")), depth(x)).otherwise(0).alias("depth"), blank(x).alias("blank"), entry(x).alias("entry"),
-                (F.rtrim(x).endswith(".") & reference(x)).alias("reference"), mark(x).alias("mark"), (F.rtrim(x).endswith(",") & x.rlike(_GREETING)).alias("greeting"),
+                x.alias("x"), F.when(F.contains(x, F.lit(">")), depth(x)).otherwise(0).alias("depth"),
+                F.when(odd(x), F.when(blank(x), "blank").when(mark(x), "mark").when(entry(x), "entry")).alias("kind"),
+                F.when(F.rtrim(x).endswith("."), reference(x)).alias("reference"), F.when(F.rtrim(x).endswith(","), x.rlike(_GREETING)).alias("greeting"),
             ),
         ),
     )
     following = F.slice("_k", F.lit(2), F.size("_k"))
 
     def joined(a: Column, b: Column) -> Column:
-        ends = a["blank"] | b["blank"] | (a["depth"] != b["depth"]) | (b["entry"] & ~a["reference"]) | a["mark"] | b["mark"] | a["greeting"]
+        apart = lambda line: F.coalesce(line["kind"].isin("blank", "mark"), F.lit(False))
+        yes = lambda c: F.coalesce(c, F.lit(False))
+        ends = apart(a) | apart(b) | (a["depth"] != b["depth"]) | (yes(b["kind"] == "entry") & ~yes(a["reference"])) | yes(a["greeting"])
         return F.when(b.isNull(), a["x"]).when(ends, F.concat(a["x"], F.lit(CUT))).otherwise(F.concat(a["x"], F.lit("\n")))
 
     return df.withColumn("_t", F.array_join(F.zip_with("_k", following, joined), "")).drop("_l", "_k")
@@ -93,53 +107,66 @@ def _lines(df: DataFrame) -> DataFrame:
 def masked(df: DataFrame) -> DataFrame:
     """_t with markup and silent terminators masked, lengths kept."""
     rep = F.regexp_replace
-    t = F.translate("_t", SOFT + QUOT + NBSP + DOT + _KEPT + CUT + HARD + HERE, _ALIEN * 8)
-    t = rep(rep(rep(t, r"(?i)&quot;", QUOT * 6), r"(?i)&nbsp;", NBSP * 6), r"(?i)&gt;", ">" + SOFT * 3)
-    df = df.withColumn("_t", rep(t, r"\r\n", " \n"))
-    for pattern, char in ((_HARD_TAG, HARD), (_SOFT_TAG, SOFT)):
-        df = _each_span(df, pattern, lambda s, char=char: F.repeat(F.lit(char), F.length(s)))
-    df = _each_span(df, _SIGNATURE, lambda s: F.translate(s, "\n", CUT))
+    own = SOFT + QUOT + NBSP + DOT + _KEPT + CUT + HARD + HERE
+    df = _where(df, _holds(*own), F.translate("_t", own, _ALIEN * 8))
+    entities = rep(rep(rep("_t", r"(?i)&quot;", QUOT * 6), r"(?i)&nbsp;", NBSP * 6), r"(?i)&gt;", ">" + SOFT * 3)
+    df = _where(df, _holds("&"), entities)
+    df = _where(df, _holds("\r\n"), F.replace("_t", F.lit("\r\n"), F.lit(" \n")))
+    for pattern, char, needs in ((_HARD_TAG, HARD, "<["), (_SOFT_TAG, SOFT, "<[&")):
+        df = _each_span(df, pattern, lambda s, char=char: F.repeat(F.lit(char), F.length(s)), *needs)
+    df = _each_span(df, _SIGNATURE, lambda s: F.translate(s, "\n", CUT), "--", "___", "~~~", "===", "***")
     df = _lines(df)
-    df = _each_span(df, _DOTTED, lambda s: F.translate(s, ".!?", DOT * 3))
+    df = _each_span(df, _DOTTED, lambda s: F.translate(s, ".!?", DOT * 3), "://", "@")
+    # decimals, numbers of list entries and of days before a month
+    numbers = rf"(?=\d)|(?=\s)(?<=(?:^|[\n{CUT}{HARD}])[>\s{SOFT}]{{0,8}}\d{{1,3}}\.)|(?={_W}+(?i:{_MONTHS})\b)"
+    df = df.withColumn("_t", rep("_t", rf"\.(?<=\d\.)(?:{numbers})", DOT))
     t = F.col("_t")
-    t = rep(t, r"\.(?=\d)(?<=\d\.)", DOT)
-    t = rep(t, rf"\.(?=\s)(?<=\d\.)(?<=(?:^|[\n{CUT}{HARD}])[>\s{SOFT}]{{0,8}}\d{{1,3}}\.)", DOT)
-    t = rep(t, rf"\.(?<=\d\.)(?={_W}+(?i:{_MONTHS})\b)", DOT)
     t = rep(t, rf"(?iu)([ap])\.m\.(?<![\p{{L}}\p{{M}}\p{{N}}][ap]\.m\.)(?={_W}*[,:;)]|[^\n{CUT}{HARD}]{{0,80}}[:：][ \t]*(?:[\n{CUT}{HARD}]|$)|{_W}+(?-i:{_GOING_ON}|{_GOING_ON.upper()})\b)", f"$1{DOT}m{DOT}")
     t = rep(t, r"(?iu)([ap])\.(m)\.(?<![\p{L}\p{M}\p{N}][ap]\.m\.)", f"$1{DOT}$2{_KEPT}")
-    t = rep(t, rf"\.(?<=\p{{L}}\.)(?<![\p{{L}}\p{{M}}\p{{N}}]\p{{L}}\.)(?=\s|\p{{L}}\.|{_W}|[,;:])", DOT)
-    t = rep(t, rf"\.(?<=[{DOT}]\p{{L}}\.)(?=\s|\p{{L}}|[,;:])", DOT)
-    t = rep(t, _KEPT, ".")
-    t = rep(t, rf"(?iu)\.(?=\s|{_W}|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_ALWAYS})\.)", DOT)
-    t = rep(t, rf"\.(?=\s|{_W}|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_CASED}|{_CASED.upper()})\.)", DOT)
-    t = rep(t, rf"(?i)\.(?={_W}*\d)(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_DIGIT})\.)", DOT)
-    t = rep(t, rf"\.(?={_W}+[^\s\p{{Lu}}]|[,;:])(?<=(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_BEFORE_SMALL}|{_BEFORE_SMALL.upper()}|{_BEFORE_SMALL.lower()})\.)", DOT)
+    df = _where(df, _holds(".m.", ".M."), t)
+    # initials, one after another
+    t = rep("_t", rf"\.(?<=\p{{L}}\.)(?<![\p{{L}}\p{{M}}\p{{N}}]\p{{L}}\.)(?=\s|\p{{L}}\.|{_W}|[,;:])", DOT)
+    df = df.withColumn("_t", rep(t, rf"\.(?<=[{DOT}]\p{{L}}\.)(?=\s|\p{{L}}|[,;:])", DOT))
+    df = _where(df, _holds(_KEPT), F.replace("_t", F.lit(_KEPT), F.lit(".")))
+    # abbreviations
+    word = r"(?<![\p{L}\p{M}\p{N}])"
+    short = (
+        rf"(?=\s|{_W}|[,;:])(?:(?<=(?iu:{word}(?:{_ALWAYS})\.))|(?<={word}(?:{_CASED}|{_CASED.upper()})\.))|(?={_W}*\d)(?<=(?i:{word}(?:{_BEFORE_DIGIT})\.))"
+        rf"|(?={_W}+[^\s\p{{Lu}}]|[,;:])(?<={word}(?:{_BEFORE_SMALL}|{_BEFORE_SMALL.upper()}|{_BEFORE_SMALL.lower()})\.)"
+    )
     # speech inside a sentence doesn't end it
-    t = rep(t, rf"[!?؟](?=[!?]*\s?{_CLOSE}+,?{_W}+[—–-]?{_W}*\p{{Ll}})", DOT)
-    t = rep(t, rf"[!?؟](?={_CLOSE}*{_W}+[—–]{_W}*\p{{Ll}})", DOT)
-    t = rep(t, rf"\.(?={_CLOSE}+{_W}+[—–]{_W}*\p{{Ll}})", DOT)
-    t = rep(t, rf"\.\.\.(?={_W}+\p{{Ll}})", DOT * 3)
-    t = rep(t, r"[。！？](?=[”」』\"](?:と|って|[他她它我你您]们?(?:说|說|问|問|道|答|喊|叫)))", DOT)
-    return df.withColumn("_t", t)
+    asked = rf"[!?؟](?=[!?]*\s?{_CLOSE}+,?{_W}+[—–-]?{_W}*\p{{Ll}}|{_CLOSE}*{_W}+[—–]{_W}*\p{{Ll}})"
+    said = rf"\.(?={_CLOSE}+{_W}+[—–]{_W}*\p{{Ll}})"
+    df = df.withColumn("_t", rep(rep("_t", rf"\.(?:{short})", DOT), f"{asked}|{said}", DOT))
+    df = _where(df, _holds("..."), rep("_t", rf"\.\.\.(?={_W}+\p{{Ll}})", DOT * 3))
+    return _where(df, _holds(*"。！？"), rep("_t", r"[。！？](?=[”」』\"](?:と|って|[他她它我你您]们?(?:说|說|问|問|道|答|喊|叫)))", DOT))
+
+
+_THAI = "[ก-๏]"
+
+
+def _where(df: DataFrame, held: Column, changed: Column) -> DataFrame:
+    """_t changed only where a cheap test says that it can match."""
+    return df.withColumn("_t", F.when(held, changed).otherwise(F.col("_t")))
 
 
-def bounded(t: Column) -> Column:
-    """Marks the boundaries of a masked text: a cut replaces white space, HERE is inserted where there is none."""
+def bounded(df: DataFrame) -> DataFrame:
+    """Marks the boundaries of masked texts _t: a cut replaces white space, HERE is inserted where there is none."""
     rep = F.regexp_replace
-    t = rep(t, rf"([.!?؟।॥…](?:\s?[”»])?{_CLOSE}*)(?:\s|[>{NBSP}])(?!{_W}*[”»])", f"$1{CUT}")
-    t = rep(t, r"([:;](?<![\p{L}\p{N}][:;])-?[()DP])\s", f"$1{CUT}")
-    t = rep(t, r"([.!?]{1,3})(?=[\p{Lu}(@“„«¿¡])(?<=[\p{Ll}\p{N})\]”»][.!?]{1,3})", f"$1{HERE}")
-    t = rep(t, r"([!?…])(?=\p{L})", f"$1{HERE}")
-    t = rep(t, r"([。！？｡][”’」』）\"]{0,2})(?![。！？｡”’」』）\"…])", f"$1{HERE}")
-    t = rep(t, r"(…)(?=[“「『])", f"$1{HERE}")
+    blank = rf"[\s>{NBSP}]"
+    ended = rf"[.!?؟।॥…](?:\s?[”»])?{_CLOSE}*(?={blank}(?!{_W}*[”»]))|[:;](?<![\p{{L}}\p{{N}}][:;])-?[()DP](?=\s)"
+    glued = r"[.!?]{1,3}(?=[\p{Lu}(@“„«¿¡])(?<=[\p{Ll}\p{N})\]”»][.!?]{1,3})|[!?…](?=\p{L})"
+    df = df.withColumn("_t", rep(rep("_t", f"({ended}){blank}", f"$1{CUT}"), f"({glued})", f"$1{HERE}"))
+    east = rep(rep("_t", r"([。！？｡][”’」』）\"]{0,2})(?![。！？｡”’」』）\"…])", f"$1{HERE}"), r"(…)(?=[“「『])", f"$1{HERE}")
+    df = _where(df, _holds(*"。！？｡…"), east)
     # scripts that part sentences by a space alone
-    return rep(t, rf"([ก-๏])\s(?={_W}*[ก-ฮเ-ไ])", f"$1{CUT}")
+    return _where(df, (F.octet_length("_t") > F.length("_t")) & F.col("_t").rlike(_THAI), rep("_t", rf"([ก-๏])\s(?={_W}*[ก-ฮเ-ไ])", f"$1{CUT}"))
 
 
 def sentence_units(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, first_char, last_char for every unit, positions in code points of the original text."""
     x = masked(df.filter(F.col(text).rlike(r"[\p{L}\p{N}]")).select(doc_id, F.col(text).alias("_t")))
-    x = x.select(doc_id, F.split(bounded(F.col("_t")), rf"(?<=[{CUT}{HARD}])(?![{CUT}{HARD}])|{HERE}", -1).alias("_p"))
+    x = bounded(x).select(doc_id, F.split("_t", rf"(?<=[{CUT}{HARD}])(?![{CUT}{HARD}])|{HERE}", -1).alias("_p"))
     starts = F.aggregate(
         F.transform("_p", F.length), F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
     )
