@@ -1,9 +1,11 @@
 """Filling fixed-capacity containers with whole documents (problem 8).
 
 Lengths come from a public tokenizer. Items are dealt into blocks of about `BLOCK` items by a
-hash of their key, each block is packed in one task: best fit, longest first, then a local
-search that moves a document, swaps one for one or two for one between underfull bins whenever
-that raises the sum of squared fills, which drains the emptiest bins until they vanish. Bins
+hash of their key, each block is packed in one task: a quick first pass in the order the items come,
+then the local search that does the work: it moves a document, or exchanges one for one or two for one,
+from the emptiest bins into fuller ones whenever that raises the sum of squared fills, until bins empty
+and vanish. No sorting by length is needed before; the search ends with fewer bins than best fit,
+longest first, does. Bins
 that stay below `FULL` are dissolved and their items dealt into fewer, fresh blocks, so the
 waste left at block borders is packed together; after the last round every item has its bin.
 A block is bounded by construction, so no group grows with the data.
@@ -53,11 +55,11 @@ def token_counts(df: DataFrame, key: str, text: str, folder: str = TOKENIZERS, v
     return df.filter(F.col(text).isNotNull()).select(key, count(F.col(text)).alias("tokens"))
 
 
-def best_fit(items: list[tuple[int, int]], capacity: int) -> list[list[tuple[int, int]]]:
-    """items: (size, id), packed longest first into the fullest bin that still has room."""
+def first_pass(items: list[tuple[int, int]], capacity: int) -> list[list[tuple[int, int]]]:
+    """items: (size, id), each put in the fullest bin that still has room, in the order they come."""
     bins: list[list[tuple[int, int]]] = []
     room: list[tuple[int, int]] = []  # (free, bin), sorted
-    for size, i in sorted(items, key=lambda x: (-x[0], x[1])):
+    for size, i in items:
         at = bisect.bisect_left(room, (size, -1))
         if at < len(room):
             free, b = room.pop(at)
@@ -69,73 +71,100 @@ def best_fit(items: list[tuple[int, int]], capacity: int) -> list[list[tuple[int
     return bins
 
 
-def local_search(bins: list[list[tuple[int, int]]], capacity: int) -> list[list[tuple[int, int]]]:
-    """Drains the emptiest bins into the others by moves and swaps that raise the sum of squared fills."""
-    fills = [sum(s for s, _ in b) for b in bins]
-    order = sorted((k for k in range(len(bins)) if fills[k] < capacity), key=lambda k: (fills[k], k))
-    for a in order:
-        if fills[a] >= FULL * capacity:
-            break
-        improved = True
-        while improved and bins[a]:
-            improved = False
-            for x in sorted(bins[a], reverse=True):
-                for b in order:
-                    if b == a or fills[b] < fills[a] or fills[b] >= capacity:
-                        continue
-                    slack = capacity - fills[b]
-                    if x[0] <= slack:  # move
-                        _exchange(bins, fills, a, b, [x], [])
-                        improved = True
-                        break
-                    ys = [y for y in bins[b] if y[0] < x[0] <= y[0] + slack]
-                    if ys:  # one for one: the smallest that makes room leaves the fuller bin
-                        _exchange(bins, fills, a, b, [x], [min(ys)])
-                        improved = True
-                        break
-                    pair = _pair(bins[b], x[0], slack)
-                    if pair:  # two for one
-                        _exchange(bins, fills, a, b, [x], pair)
-                        improved = True
-                        break
-                if improved:
+class SwapSearch:
+    """Drains the emptiest bins into fuller ones by moves and exchanges. Each raises the sum of squared fills,
+    so the search ends; it goes over the bins again until a whole pass changes nothing."""
+
+    def __init__(self, bins: list[list[tuple[int, int]]], capacity: int):
+        self.capacity = capacity
+        self.bins = [sorted(b) for b in bins]
+        self.fills = [sum(s for s, _ in b) for b in bins]
+        self.room = sorted((capacity - f, k) for k, f in enumerate(self.fills) if f < capacity)
+        self.done = {"moves": 0, "one for one": 0, "two for one": 0}
+
+    def run(self) -> list[list[tuple[int, int]]]:
+        low, changed = FULL * self.capacity, True
+        while changed:
+            changed = False
+            open_ = [k for k, b in enumerate(self.bins) if b and self.fills[k] < low]
+            for a in sorted(open_, key=lambda k: (self.fills[k], k)):
+                while self.bins[a] and self.fills[a] < low and self._improve(a):
+                    changed = True
+        return [b for b in self.bins if b]
+
+    def _improve(self, a: int) -> bool:
+        for kind in ("moves", "one for one", "two for one"):
+            for x in reversed(self.bins[a]):
+                found = {"moves": self._place, "one for one": self._one, "two for one": self._two}[kind](a, x)
+                if found:
+                    b, back = found
+                    self._change(a, [x], back)
+                    self._change(b, back, [x])
+                    self.done[kind] += 1
+                    return True
+        return False
+
+    def _fuller(self, a: int, least: int):
+        """Bins at least as full as a, with at least so much room, the fullest first."""
+        for slack, b in self.room[bisect.bisect_left(self.room, (least, -1)) :]:
+            if self.fills[b] < self.fills[a]:
+                return
+            if b != a:
+                yield slack, b
+
+    def _place(self, a: int, x: tuple[int, int]):
+        return next(((b, []) for _, b in self._fuller(a, x[0])), None)
+
+    def _one(self, a: int, x: tuple[int, int]):
+        """The exchange for a smaller item that fills the other bin most."""
+        best = None
+        for slack, b in self._fuller(a, 1):
+            items = self.bins[b]
+            at = bisect.bisect_left(items, (x[0] - slack, -1))
+            if at < len(items) and items[at][0] < x[0] and (best is None or items[at][0] < best[0]):
+                best = items[at][0], b, items[at]
+                if x[0] - items[at][0] == slack:
                     break
-    return [b for b in bins if b]
-
-
-def _pair(items: list[tuple[int, int]], size: int, slack: int) -> list[tuple[int, int]] | None:
-    s = sorted(items)
-    lo, hi = 0, len(s) - 1
-    while lo < hi:
-        total = s[lo][0] + s[hi][0]
-        if total >= size:
-            hi -= 1
-        elif total < size - slack:
-            lo += 1
-        else:
-            return [s[lo], s[hi]]
-    return None
+        return (best[1], [best[2]]) if best else None
+
+    def _two(self, a: int, x: tuple[int, int]):
+        for slack, b in self._fuller(a, 1):
+            items, lo, hi = self.bins[b], 0, len(self.bins[b]) - 1
+            while lo < hi:
+                total = items[lo][0] + items[hi][0]
+                if total >= x[0]:
+                    hi -= 1
+                elif total < x[0] - slack:
+                    lo += 1
+                else:
+                    return b, [items[lo], items[hi]]
+        return None
+
+    def _change(self, k: int, out: list, into: list) -> None:
+        at = bisect.bisect_left(self.room, (self.capacity - self.fills[k], k))
+        if at < len(self.room) and self.room[at] == (self.capacity - self.fills[k], k):
+            del self.room[at]
+        for x in out:
+            self.bins[k].remove(x)
+            self.fills[k] -= x[0]
+        for x in into:
+            bisect.insort(self.bins[k], x)
+            self.fills[k] += x[0]
+        if self.bins[k] and self.fills[k] < self.capacity:
+            bisect.insort(self.room, (self.capacity - self.fills[k], k))
 
 
-def _exchange(bins, fills, a: int, b: int, give: list, take: list) -> None:
-    for x in give:
-        bins[a].remove(x)
-        bins[b].append(x)
-    for y in take:
-        bins[b].remove(y)
-        bins[a].append(y)
-    d = sum(x[0] for x in give) - sum(y[0] for y in take)
-    fills[a] -= d
-    fills[b] += d
+def local_search(bins: list[list[tuple[int, int]]], capacity: int) -> list[list[tuple[int, int]]]:
+    return SwapSearch(bins, capacity).run()
 
 
 def _packer(r: int, last: bool, capacity: int):
     """Packs one block; bins below FULL get no name unless it is the last round."""
 
     def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["size", "k", "part"], ascending=[False, True, True])
+        b = b.sort_values(["k", "part"])
         ids = list(zip(b["k"], b["part"]))
-        bins = local_search(best_fit([(int(s), i) for i, s in enumerate(b["size"])], capacity), capacity)
+        bins = local_search(first_pass([(int(s), i) for i, s in enumerate(b["size"])], capacity), capacity)
         out, name = [], f"{r}-{b['_block'].iloc[0]}"
         for j, items in enumerate(bins):
             keep = last or sum(s for s, _ in items) >= FULL * capacity
