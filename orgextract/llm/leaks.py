@@ -1,16 +1,19 @@
 """Test items inside training text: rare n-gram seeds, then Smith-Waterman alignment (problem 9).
 
 A window of `span` words with at most `slips` replaced words holds an exact run of at least
-(span - slips) / (slips + 1) words, so n-grams of that length (6 for 12 words and one slip)
-are complete seeds: no leak can be missed, none needs to be dropped for being frequent, and
-in practice a six-word run of a test item is rare in the corpus. Seeds are joined by hash,
-item side broadcast if its counted size is within a bound, else by a shuffle. Only documents
-with a seed travel on, with the diagonals (word offset between document and item) on which
-seeds lie. A banded Smith-Waterman alignment along these accepts a pair by its score, gaps
-allowed: `find_copies` gives these, edited copies with inserted, dropped, split or joined words
-included, as long as one run of a seed's length is left whole. `find_leaks` narrows them by an
-exact check of the windows on the accepted bands. It loses nothing: a window of `span` words
-with `slips` replaced scores 2 * (span - slips) - slips on its own diagonal, which is the least score.
+n = (span - slips) / (slips + 1) words, so the n-grams of the items (6 words for 12 and one slip)
+are complete seeds. Their document frequency is counted over all documents. A rare one ties a
+document to an item by itself. A frequent one (a signature, a stock phrase) is lengthened until
+it is rare: the word before or after it must agree too, or, past one other word, n - 1 more. A window
+that holds the frequent seed always has one of these, so none is lost.
+
+Only documents with a seed travel on, each once, with the diagonals (word offset between
+document and item) on which seeds lie. A banded Smith-Waterman alignment along these accepts a
+pair by its score, gaps allowed: `find_copies` gives these, edited copies with inserted, dropped,
+split or joined words included, as long as one run of a seed's length is left whole. `find_leaks`
+narrows them by an exact check of the windows on the accepted bands. It loses nothing: a window of
+`span` words with `slips` replaced scores 2 * (span - slips) - slips on its own diagonal, which is
+the least score.
 
 Defined results
 * null or empty texts have no words; texts shorter than the span never leak nor are leaked;
@@ -27,6 +30,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orgextract.operators.skew import join_counted
+from orgextract.session import stored
+
 #: Seed rows of the item side that may be broadcast.
 BROADCAST_SEEDS = 2_000_000
 SPAN, SLIPS = 12, 1
@@ -96,10 +102,29 @@ def bands(diagonals: np.ndarray, band: int = BAND) -> list[tuple[int, int, list[
     return [((g[0] + g[-1]) // 2, band + (g[-1] - g[0] + 1) // 2, g) for g in groups]
 
 
-def find_copies(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS) -> DataFrame:
+#: A seed is frequent in more documents than this share of all (or than FREQUENT_LEAST, if that is more).
+FREQUENT_SHARE, FREQUENT_LEAST = 1 / 1000, 100
+
+
+def _lengthened(dw: Column, iw: Column, pos: Column, ipos: Column, n: int) -> Column:
+    """Whether a shared n-gram (1-based places) goes on by a word on either side, or by n - 1 words past one other."""
+    same = lambda d: F.try_element_at(dw, pos + d) == F.try_element_at(iw, ipos + d)
+    inside = lambda lo, hi: (pos + lo >= 1) & (ipos + lo >= 1) & (pos + hi <= F.size(dw)) & (ipos + hi <= F.size(iw))
+    run = lambda lo: F.slice(dw, pos + lo, n - 1) == F.slice(iw, ipos + lo, n - 1)
+    tests = ((inside(-1, 0), same(-1)), (inside(0, n), same(n)), (inside(-n, 0), run(-n)), (inside(0, 2 * n - 1), run(n + 1)))
+    hit = F.lit(False)
+    for possible, agrees in tests:
+        hit = hit | F.coalesce(F.when(possible, agrees), F.lit(False))
+    return hit
+
+
+def find_copies(
+    docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS, frequent: int | None = None
+) -> DataFrame:
     """doc_id, item_id, longest, score for each document and item whose alignment scores as much as a window does.
 
     longest: the words of the longest run without a gap and with at most `slips` other words.
+    frequent: documents a seed may stand in and count as rare; by default a share of all documents.
     """
     n, least = span // (slips + 1), 2 * (span - slips) - slips
     d = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("_text"))
@@ -107,15 +132,26 @@ def find_copies(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, te
     item_seeds = seeds(i, "item", "_text", n).select("item", F.col("pos").alias("ipos"), "seed")
     if item_seeds.count() <= BROADCAST_SEEDS:
         item_seeds = F.broadcast(item_seeds)
-    hits = (
-        seeds(d, "doc", "_text", n)
-        .join(item_seeds, "seed")
-        .groupBy("doc", "item")
-        .agg(F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals"))  # at most the words of one document
+    met = stored(seeds(d, "doc", "_text", n).join(item_seeds, "seed").select("seed", "doc", "item", "pos", "ipos"), "seeds")
+    if frequent is None:
+        frequent = max(int(docs.count() * FREQUENT_SHARE), FREQUENT_LEAST)
+    often = met.groupBy("seed", "doc").agg(F.lit(1).alias("_one")).groupBy("seed").agg(F.count("*").alias("_df")).filter(F.col("_df") > frequent)
+    met = met.join(F.broadcast(often), "seed", "left")  # distinct n-grams of the items at most, as counted above
+    rare = F.col("_df").isNull()
+    hits = met.groupBy("doc", "item").agg(
+        F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals"),  # at most the words of one document
+        F.max(rare).alias("rare"),
+        F.collect_set(F.when(~rare, F.struct("pos", "ipos"))).alias("places"),
     )
+    # a document's words are made once, however many items it shares seeds with
     hash_words = lambda c: F.transform(words(c), lambda w: F.xxhash64(w))
-    candidates = hits.join(d, "doc").join(i.select("item", hash_words(F.col("_text")).alias("iw")), "item")
-    candidates = candidates.select("doc", "item", "diagonals", hash_words(F.col("_text")).alias("dw"), "iw")
+    by_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("item", "diagonals", "rare", "places")).alias("_h"))
+    found = by_doc.join(d, "doc").select("doc", hash_words(F.col("_text")).alias("dw"), F.explode("_h").alias("_h")).select("doc", "dw", "_h.*")
+    share = hits.groupBy("item").agg(F.count("*").alias("_n"))
+    texts = i.join(share, "item").select("item", hash_words(F.col("_text")).alias("iw"), "_n")
+    candidates = join_counted(found, texts, "item", "_n")
+    longer = F.exists("places", lambda x: _lengthened(F.col("dw"), F.col("iw"), x["pos"], x["ipos"], n))
+    candidates = candidates.filter(F.col("rare") | longer).select("doc", "item", "diagonals", "dw", "iw")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -131,6 +167,8 @@ def find_copies(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, te
     return out.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "longest", "score")
 
 
-def find_leaks(docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, doc_id: str, items: DataFrame, item_id: str, text: str = "text", span: int = SPAN, slips: int = SLIPS, frequent: int | None = None
+) -> DataFrame:
     """The copies in which a window of `span` words stands with at most `slips` of them replaced."""
-    return find_copies(docs, doc_id, items, item_id, text, span, slips).filter(F.col("longest") >= span)
+    return find_copies(docs, doc_id, items, item_id, text, span, slips, frequent).filter(F.col("longest") >= span)
