@@ -40,14 +40,18 @@ _ENDS_IN_ORG = range(5, 9)
 
 
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c)).lower()
 
 
 def clean(title: str) -> str:
-    text = html.unescape(unicodedata.normalize("NFC", title))
-    text = re.sub("[\u200B\uFEFF\u00AD]", "", text).replace("’", "'").replace("`", "'")
-    text = re.sub(r"<[^>]*>", "", text)
-    return re.sub(r"\s+", " ", text).strip()
+    text = html.unescape(title) if "&" in title else title
+    if not text.isascii():
+        text = re.sub("[\u200B\uFEFF\u00AD]", "", unicodedata.normalize("NFC", text)).replace("’", "'")
+    if "<" in text:
+        text = re.sub(r"<[^>]*>", "", text)
+    return " ".join(text.replace("`", "'").split())
 
 
 def parse(title: str, matcher: Matcher) -> tuple[str, str, int, str, bool] | None:

@@ -120,13 +120,13 @@ def block_rows(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep")
 
 
-def near(fresh: DataFrame, known: DataFrame) -> DataFrame:
+def near(fresh: DataFrame, known: DataFrame, total: int | None = None) -> DataFrame:
     """a, b: every pair of a fresh fingerprint with another that differs from it in at most MAX_BITS bits of each half.
 
-    known (key, fp, rep, old): pairs of two fresh ones are formed once.
+    known (key, fp, rep, old), of `total` rows: pairs of two fresh ones are formed once.
     """
     left = fresh.select("key", F.col("fp").alias("fa"), F.col("rep").alias("a"))
-    pairs = join_split(left, known.select("key", F.col("fp").alias("fb"), F.col("rep").alias("b"), "old"), ["key"])
+    pairs = join_split(left, known.select("key", F.col("fp").alias("fb"), F.col("rep").alias("b"), "old"), ["key"], total=total)
     low = (1 << headlines.HALF) - 1
     close = f"bit_count((fa ^ fb) & {low}L) <= {MAX_BITS} AND bit_count(shiftrightunsigned(fa ^ fb, {headlines.HALF})) <= {MAX_BITS}"
     return pairs.filter("a <> b AND (old OR b < a)").filter(close).select("a", "b").distinct()
