@@ -71,9 +71,24 @@ def test_leaks_against_brute_force(spark):
     I = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(99, None)], "item_id long, text string")  # noqa: E741
     got = {(x.doc_id, x.item_id) for x in leaks.find_leaks(D, "doc_id", I, "item_id").collect()}
     assert got == {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if brute(d, t)} and got
+    # every seed frequent: each is lengthened, and still no window is lost
+    got = {(x.doc_id, x.item_id) for x in leaks.find_leaks(D, "doc_id", I, "item_id", frequent=0).collect()}
+    assert got == {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if brute(d, t)}
     assert leaks.find_leaks(D.filter("false"), "doc_id", I, "item_id").count() == 0
 
 
+def test_a_frequent_seed_alone_ties_nothing(spark):
+    item = "a b c d e f g h i j k l m n".split()
+    stock = [["x", *item[4:10], "y", "z"] for _ in range(30)]
+    real = [item[:9] + ["q"] + item[10:], item[1:13]]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(stock + real)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert sorted(x.doc_id for x in leaks.find_leaks(docs, "doc_id", items, "item_id", frequent=20).collect()) == [30, 31]
+    w = lambda t: F.split(F.lit(" ".join(t)), " ")
+    at = lambda doc, pos, ipos: spark.range(1).select(leaks._lengthened(w(doc), w(item), F.lit(pos), F.lit(ipos), 6).alias("x")).first().x
+    assert not at(stock[0], 2, 5) and at(real[0], 1, 1) and at(item[1:13], 1, 2) and at(item[:6] + ["q"] + item[7:12], 1, 1) and not at(item[:6] + ["q"] + item[7:11], 1, 1)
+
+
 def test_alignment_accepts_edited_copies(spark):
     item = [f"w{i}" for i in range(40)]
     dropped = [w for i, w in enumerate(item) if i % 10 != 9]
@@ -124,6 +139,25 @@ def test_local_search_drains_bins():
     assert sorted(x for b in out for x in b) == sorted(x for b in bins for x in b) and len(out) == 2
 
 
+def test_the_search_does_the_work():
+    """On mixes without small change the first pass wastes a twelfth; the search ends below best fit, longest first."""
+    r = random.Random(1)
+    for low, high in ((180, 700), (260, 620)):
+        items = [(r.randint(low, high), i) for i in range(1500)]
+        least = -(-sum(s for s, _ in items) // 1024)
+        start = packing.first_pass(items, 1024)
+        search = packing.SwapSearch(start, 1024)
+        bins = search.run()
+        decreasing = packing.first_pass(sorted(items, reverse=True), 1024)
+        assert sorted(x for b in bins for x in b) == sorted(items) and max(sum(s for s, _ in b) for b in bins) <= 1024
+        assert len(bins) <= len(decreasing) < len(start) and len(bins) <= 1.02 * least and len(start) > 1.05 * least
+        assert search.done["moves"] and search.done["one for one"]
+        squares = lambda bs: sum(sum(s for s, _ in b) ** 2 for b in bs)
+        assert squares(bins) > squares(start)
+    two = packing.SwapSearch([[(700, 0)], [(350, 1), (340, 2), (320, 3)]], 1024)
+    assert sorted(sum(s for s, _ in b) for b in two.run()) == [690, 1020] and two.done["two for one"] == 1
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, ""), (3, None), (4, "<|endoftext|>")], "doc_id long, text string")
     got = {r.doc_id: r.tokens for r in packing.token_counts(df, "doc_id", "text").collect()}
