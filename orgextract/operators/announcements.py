@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orgextract.functions.entities import Tagger, entity_spans, pattern_tagger
 from orgextract.functions.text import is_announcement, joined_or_na
+from orgextract.operators.skew import short_list
 
 
 def classify(entries: DataFrame) -> DataFrame:
@@ -39,9 +40,7 @@ def new_per_run(rows: DataFrame, stream: list[str], order: str) -> DataFrame:
     A row with a null in either never equals, so it is always new; every row of a first run is new.
     """
     runs = rows.select(*stream, order).distinct()
-    after = runs.withColumn("_next", F.lead(order).over(Window.partitionBy(*stream).orderBy(order))).filter("_next IS NOT NULL")
-    limit = 100_000  # the list of runs is metadata; a longer one is joined by a shuffle
-    after = F.broadcast(after) if runs.limit(limit + 1).count() <= limit else after
+    after = short_list(runs.withColumn("_next", F.lead(order).over(Window.partitionBy(*stream).orderBy(order))).filter("_next IS NOT NULL"))
     held = rows.join(after, [*stream, order]).select(*stream, F.col("_next").alias(order), "Title", "Link").distinct()
     return rows.join(held, [*stream, order, "Title", "Link"], "left_anti")
 

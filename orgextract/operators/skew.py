@@ -10,6 +10,15 @@ HOT_SHARE = 2000
 LEAST_HOT = 1000
 
 
+#: Rows of a short list (runs, feeds, positions) that may be broadcast.
+SHORT_LIST = 100_000
+
+
+def short_list(df: DataFrame, limit: int = SHORT_LIST) -> DataFrame:
+    """df marked for broadcast if its counted size allows; a longer one is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """rows joined (inner or left) with a table of one row per key that carries the key's row count.
 

@@ -14,9 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-#: Runs whose list may be broadcast; a longer one is joined by a shuffle.
-BROADCAST_RUNS = 100_000
+from orgextract.operators.skew import short_list
 
 
 def consecutive_runs(runs: DataFrame, stream: str, order: str) -> DataFrame:
@@ -38,9 +36,7 @@ def snapshot_diff(rows: DataFrame, runs: DataFrame, stream: str, order: str, key
     slim = rows.filter(F.col(key).isNotNull()).select(
         F.col(stream).alias("_s"), F.col(order).alias("_o"), F.col(key).alias("_k"), value.alias("_v")
     ).distinct()
-    p = pairs.select(F.col(stream).alias("_ps"), F.col(order).alias("_run"), "_prev")
-    if p.limit(BROADCAST_RUNS + 1).count() <= BROADCAST_RUNS:
-        p = F.broadcast(p)
+    p = short_list(pairs.select(F.col(stream).alias("_ps"), F.col(order).alias("_run"), "_prev"))
     now = slim.join(p, (F.col("_s") == F.col("_ps")) & (F.col("_o") == F.col("_run"))).select("_s", "_run", "_k", "_v")
     before = slim.join(p, (F.col("_s") == F.col("_ps")) & (F.col("_o") == F.col("_prev"))).select("_s", "_run", "_k", "_v")
     by_key = ["_s", "_run", "_k"]
