@@ -7,7 +7,7 @@ import html
 import re
 import unicodedata
 
-from orgextract.llm.reference_match import ABBREVIATIONS, Matcher, plain
+from orgextract.llm.reference_match import Matcher, plain
 
 # How feeds decorate a headline, and the wordings of an appointment.
 _LEAD = re.compile(
@@ -102,7 +102,7 @@ class Remembering:
     """A matcher that looks each wording of a position up once."""
 
     def __init__(self, matcher: Matcher):
-        self.matcher, self.tree, self.known = matcher, matcher.tree, {}
+        self.matcher, self.known = matcher, {}
 
     def find(self, raw: str) -> tuple[int, int] | None:
         if raw not in self.known:
@@ -148,7 +148,7 @@ class CommonWords:
 
     def __init__(self, matcher: Matcher):
         positions = {w for form in matcher.tree.values for w in form.split()}
-        self.words = {*_COMMON, *positions, *ABBREVIATIONS}
+        self.words = {*_COMMON, *positions, *matcher.lexicon.abbreviations}
         self.near = {d for w in self.words if len(w) >= 4 or w in ("inc", "ltd") for d in (w, *_shorter(w))}
         self.known: dict[str, bool] = {}
 

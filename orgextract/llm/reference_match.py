@@ -18,7 +18,9 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from orgextract.llm.editmetric import BKTree
+from orgextract.operators.skew import join_counted
+from orgextract.session import stored
 
 # Abbreviations and foreign or variant wordings of job titles.
 ABBREVIATIONS = {
@@ -71,38 +75,73 @@ SYNONYMS = {
 _SEPARATORS = re.compile(r"\s+[-–—]+\s+|[|;()\[\]•·]|,|\s/\s|\s@\s")
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """The words of one domain that a matcher reads values with. Other domains load their own from a table."""
+
+    abbreviations: dict[str, str] = field(default_factory=dict)
+    phrases: dict[str, str] = field(default_factory=dict)
+    alternates: dict[str, str] = field(default_factory=dict)
+    synonyms: dict[str, str] = field(default_factory=dict)
+    places: frozenset[str] = frozenset()
+    fillers: frozenset[str] = frozenset()
+    units: tuple[str, ...] = ()
+    remarks: re.Pattern = re.compile(r"(?!)")
+
+    @classmethod
+    def load(cls, table: DataFrame, limit: int = 100_000) -> Lexicon:
+        """From rows (kind, written, meant): kind is abbreviation, phrase (a pattern), alternate, synonym, place, filler,
+        unit or remark (a pattern); the last four need no meaning. A list beyond the limit is an error."""
+        rows = table.select("kind", "written", "meant").limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"a lexicon holds at most {limit} rows")
+        of = lambda kind: {w: m for k, w, m in rows if k == kind}
+        remarks = "|".join(of("remark"))
+        return cls(
+            of("abbreviation"), of("phrase"), of("alternate"), of("synonym"), frozenset(of("place")), frozenset(of("filler")), tuple(of("unit")),
+            re.compile(rf"\b(?:{remarks})\b" if remarks else r"(?!)"),
+        )
+
+
 def plain(text: str) -> str:
     text = unicodedata.normalize("NFC", text).lower()
     text = re.sub("[\u200B\uFEFF]", "", text).replace("&", " and ")
     return " ".join(re.findall(r"[^\W_]+", text))
 
 
-def _initials(m: re.Match) -> str:
-    joined = m.group().replace(" ", "")
-    return joined if joined in ABBREVIATIONS else m.group()
+#: Titles of jobs.
+JOB_TITLES = Lexicon(
+    ABBREVIATIONS, PHRASES, ALTERNATES, SYNONYMS, frozenset(PLACES), frozenset(FILLERS),
+    ("vice president", "human resources", "information technology", "vice chair"), REMARKS,
+)
 
 
-def words(text: str) -> list[str]:
+def words(text: str, lexicon: Lexicon = JOB_TITLES) -> list[str]:
     """Expanded content words, in order; spelled-out initials ("c e o") joined first."""
-    text = re.sub(r"\b(?:[a-z] )+[a-z]\b", _initials, plain(text))
-    for pattern, by in PHRASES.items():
+
+    def initials(m: re.Match) -> str:
+        joined = m.group().replace(" ", "")
+        return joined if joined in lexicon.abbreviations else m.group()
+
+    text = re.sub(r"\b(?:[a-z] )+[a-z]\b", initials, plain(text))
+    for pattern, by in lexicon.phrases.items():
         text = re.sub(pattern, by, text)
-    text = REMARKS.sub(" ", text)
+    text = lexicon.remarks.sub(" ", text)
     out = []
     for w in text.split():
-        out += ABBREVIATIONS.get(w, w).split()
-    return [w for w in out if w not in FILLERS]
+        out += lexicon.abbreviations.get(w, w).split()
+    return [w for w in out if w not in lexicon.fillers]
 
 
-def forms(canonical: str, short: str | None) -> set[str]:
+def forms(canonical: str, short: str | None, lexicon: Lexicon = JOB_TITLES) -> set[str]:
     """Written forms of one entry: its units ("vice president", "human resources") in every order."""
-    base = words(canonical)
-    units, joined = [], " ".join(base)
-    for unit in ("vice president", "human resources", "information technology", "vice chair"):
+    base = words(canonical, lexicon)
+    joined = " ".join(base)
+    for unit in lexicon.units:
         joined = joined.replace(unit, unit.replace(" ", "_"))
     units = joined.split()
     out = {" ".join(p).replace("_", " ") for p in itertools.permutations(units)} if len(units) <= 4 else {" ".join(base)}
-    for a, b in ALTERNATES.items():
+    for a, b in lexicon.alternates.items():
         out |= {re.sub(rf"\b{a}\b", b, f) for f in out} | {re.sub(rf"\b{b}\b", a, f) for f in out}
     if short:
         out.add(plain(short))
@@ -112,15 +151,17 @@ def forms(canonical: str, short: str | None) -> set[str]:
 class Matcher:
     """Maps one text to (distance, entry id); picklable, holds one shard of the reference list."""
 
-    def __init__(self, entries: list[tuple[int, str, str | None]], synonyms: dict[str, str]):
+    def __init__(self, entries: list[tuple[int, str, str | None]], synonyms: dict[str, str] | None = None, lexicon: Lexicon = JOB_TITLES):
+        self.lexicon = lexicon
+        synonyms = lexicon.synonyms if synonyms is None else synonyms
         by_name = {plain(c): i for i, c, _ in entries}
         items: dict[str, list[int]] = {}
         for i, canonical, short in sorted(entries):
-            for form in forms(canonical, short):
+            for form in forms(canonical, short, lexicon):
                 items.setdefault(form, []).append(i)
         for form, canonical in synonyms.items():
             if plain(canonical) in by_name:
-                items.setdefault(" ".join(words(form)), []).append(by_name[plain(canonical)])
+                items.setdefault(" ".join(words(form, lexicon)), []).append(by_name[plain(canonical)])
         self.tree = BKTree(items)
 
     @staticmethod
@@ -143,14 +184,15 @@ class Matcher:
 
     def staged(self, raw: str) -> tuple[int, int, int] | None:
         """(stage, distance, entry id) of the first reading in find()'s order that has a hit."""
-        whole = words(raw)
+        read = lambda text: words(text, self.lexicon)
+        whole = read(raw)
         parts = [p for p in _SEPARATORS.split(raw) if re.search(r"\w", p)]
         split_case = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", raw)
-        placeless = [x for x in whole if x not in PLACES]
+        placeless = [x for x in whole if x not in self.lexicon.places]
         readings = itertools.chain(
             [whole],
-            (words(p) for p in [" ".join(parts[:n]) for n in range(len(parts) - 1, 0, -1)] + parts[1:]),
-            (words(x) for x in [split_case if split_case != raw else ""]),
+            (read(p) for p in [" ".join(parts[:n]) for n in range(len(parts) - 1, 0, -1)] + parts[1:]),
+            (read(x) for x in [split_case if split_case != raw else ""]),
             [placeless if len(placeless) < len(whole) else []],
         )
         for stage, reading in enumerate(readings):
@@ -183,25 +225,40 @@ def map_to_reference(df: DataFrame, id_col: str, value: str, matcher: Matcher) -
     return filled.select(id_col, mapped(F.col(value)).alias("ref_id"))
 
 
+#: Distinct values one task asks of one shard.
+VALUES_PER_TASK = 50_000
+#: The shard trees a worker has built, by run and shard; the last run's only.
+_TREES: dict[tuple[str, int], Matcher] = {}
+
+
 def map_to_sharded_reference(
-    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str], shards: int
+    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str] | None, shards: int, lexicon: Lexicon = JOB_TITLES
 ) -> DataFrame:
     """The same for a reference list too long for one worker: (role_ref_id, canonical, short) is cut
-    into shards; each distinct value is asked of every shard's tree in its own task group, and the
-    shard winners merge by (stage, distance, entry). `id_col` rows meet the answers by value digest."""
+    into shards; each distinct value is asked of every shard's tree in groups of bounded size, and the
+    shard winners merge by (stage, distance, entry): a shard answers with the first reading in which it
+    has a hit, so the least stage over the shards is the one the whole tree would have stopped at.
+    `id_col` rows meet the answers by value."""
     values = df.filter(F.col(value).rlike(r"(?U)[^\s\u200B\uFEFF]")).select(id_col, F.col(value).alias("_v"))
-    distinct = values.select("_v").distinct()
-    blocks = 4 * shards
+    distinct = stored(values.groupBy("_v").agg(F.count("*").alias("_n")), "values")
+    blocks = max(1, -(-distinct.count() // VALUES_PER_TASK))
     asked = distinct.withColumn("_block", F.pmod(F.xxhash64("_v"), F.lit(blocks)).cast("int")).withColumn(
         "_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
     trees = reference.withColumn("_shard", F.pmod(F.xxhash64("role_ref_id"), F.lit(shards)).cast("int")).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
+    run = uuid.uuid4().hex
+
+    def answer(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        from orgextract.llm.reference_match import _TREES
 
-    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        entries = [(int(i), c, s) for i, c, s in zip(right.role_ref_id, right.canonical, right.short)]
-        m = Matcher(entries, synonyms)
+        at = run, int(key[0])
+        if at not in _TREES:
+            for old in [k for k in _TREES if k[0] != run]:
+                del _TREES[old]
+            _TREES[at] = Matcher([(int(i), c, s) for i, c, s in zip(right.role_ref_id, right.canonical, right.short)], synonyms, lexicon)
+        m = _TREES[at]
         hits = [(v, *hit) for v in left._v if (hit := m.staged(v))]
         return pd.DataFrame(hits, columns=["_v", "_stage", "_d", "_ref"])
 
@@ -212,7 +269,8 @@ def map_to_sharded_reference(
         .groupBy("_v")
         .agg(F.min(F.struct("_stage", "_d", "_ref"))["_ref"].alias("_ref"))
     )
-    return values.join(winners, "_v", "left").select(id_col, F.coalesce("_ref", F.lit(-1)).alias("ref_id"))
+    answers = winners.join(distinct, "_v")
+    return join_counted(values, answers, "_v", "_n", "left").select(id_col, F.coalesce("_ref", F.lit(-1)).alias("ref_id"))
 
 
 #: A reference list up to this many entries travels whole to each worker.
@@ -220,11 +278,11 @@ BROADCAST_ENTRIES = 20_000
 
 
 def match_reference(
-    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str] = SYNONYMS
+    df: DataFrame, id_col: str, value: str, reference: DataFrame, synonyms: dict[str, str] | None = None, lexicon: Lexicon = JOB_TITLES
 ) -> DataFrame:
     """reference: (role_ref_id, canonical, short). Chooses the plan by the list's counted size."""
     head = reference.limit(BROADCAST_ENTRIES + 1).collect()
     if len(head) > BROADCAST_ENTRIES:
         shards = -(-reference.count() // BROADCAST_ENTRIES)
-        return map_to_sharded_reference(df, id_col, value, reference, synonyms, shards)
-    return map_to_reference(df, id_col, value, Matcher([(int(r[0]), r[1], r[2]) for r in head], synonyms))
+        return map_to_sharded_reference(df, id_col, value, reference, synonyms, shards, lexicon)
+    return map_to_reference(df, id_col, value, Matcher([(int(r[0]), r[1], r[2]) for r in head], synonyms, lexicon))
