@@ -12,8 +12,9 @@ left forms persons without an address: the connected components of the verified
 the one of these that they fit.
 
 Everything but the composition of decomposed characters is built-in SQL. No group is
-collected: every step is a keyed join or aggregation, and an organisation with a third of
-all rows is spread over its keys.
+collected: every step is a keyed join or aggregation. An organisation with a third of all rows
+is spread over its keys; a segment common to many of them, and a person with many spellings,
+are cut into slices.
 
 Defined results
 * null, blank and one-word spellings, and texts with a word of a position, a page or an
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from orgextract.functions.unicode import nfc
 from orgextract.llm.components import components
+from orgextract.operators.skew import join_split
 from orgextract.session import stored
 
 # Forms of address, name suffixes, words that make a text no name, and short names.
@@ -127,7 +129,7 @@ def with_keys(df: DataFrame) -> DataFrame:
     x = df.withColumn("_t", parts).withColumn("_names", F.array_distinct(long_parts))
     named = (F.size("_t") >= 2) & (F.size("_names") >= 1) & ~F.exists("_t", lambda t: t.isin(NO_NAME) | t.rlike(r"\p{N}"))
     lead, tail, n = F.get("_t", F.lit(0)), F.element_at("_t", -1), F.size("_names")
-    head, family = F.get("_names", F.lit(0)), F.array_join(F.slice("_names", 2, 9), "")
+    head, family = F.get("_names", F.lit(0)), F.array_join(F.slice("_names", F.lit(2), F.size("_names")), "")
     short = (
         F.when(F.length(lead) == 1, F.concat(lead, F.lit(">"), F.array_join("_names", "")))
         .when(F.length(tail) == 1, F.concat(tail, F.lit("<"), F.array_join("_names", "")))
@@ -190,8 +192,8 @@ def query_segments(keys: DataFrame, k: int) -> DataFrame:
 def alike(asked: DataFrame, known: DataFrame, k: int = EDITS) -> DataFrame:
     """org, key, other, dist: keys of `known` (org, key) within k edits of each key asked, in the same organisation."""
     q = query_segments(asked.select("org", "key"), k)
-    i = index_segments(known.select("org", F.col("key")), k).withColumnRenamed("key", "other")
-    pairs = q.join(i, ["org", "n", "i", "seg"]).filter("key <> other").select("org", "key", "other").distinct()
+    i = stored(index_segments(known.select("org", F.col("key")), k).withColumnRenamed("key", "other"), "index")
+    pairs = join_split(q, i, ["org", "n", "i", "seg"]).filter("key <> other").select("org", "key", "other").distinct()
     pairs = pairs.withColumn("dist", F.levenshtein("key", "other", k)).filter("dist >= 0")
     return pairs.filter((F.col("dist") <= 1) | (F.length("key") >= LONG))
 
@@ -255,7 +257,12 @@ def persons(sightings: DataFrame) -> DataFrame:
 
 
 def spelling_pairs(members: DataFrame) -> DataFrame:
-    """name_a, name_b: every pair of different spellings of one person."""
+    """name_a, name_b: every pair of different spellings of one person, from members (spelling, person; distinct).
+
+    The pairs are the form asked for; `persons` gives the membership alone. A person with many spellings
+    is cut into slices, so no task forms all of their pairs.
+    """
+    members = stored(members, "members")
     a = members.select("person", F.col("spelling").alias("name_a"))
     b = members.select("person", F.col("spelling").alias("name_b"))
-    return a.join(b, "person").filter("name_a < name_b").select("name_a", "name_b").distinct()
+    return join_split(a, b, ["person"]).filter("name_a < name_b").select("name_a", "name_b").distinct()
