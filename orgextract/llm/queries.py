@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orgextract.llm import history, leaks, ledger, names, packing, reference_match, sentences, survivors
 from orgextract.operators.packed import ORGANIZATION, PERSON, with_items
+from orgextract.operators.skew import short_list
 from orgextract.session import scratch_folder, stored, table
 
 
@@ -33,18 +34,18 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference_matcher(spark: SparkSession, sf_dir: str) -> reference_match.Matcher:
-    """role_reference is a fixed list; it is collected behind a check of its size."""
+    """role_reference as one matcher for the headlines' text check; the list travels to the workers, so its size is checked."""
     ref = table(spark, sf_dir, "role_reference").select("role_ref_id", "canonical_role", "short_form")
     rows = ref.limit(reference_match.BROADCAST_ENTRIES + 1).collect()
     if len(rows) > reference_match.BROADCAST_ENTRIES:
         raise ValueError("the list of positions is too long to travel with the headline parser")
-    return reference_match.Matcher([(r[0], r[1], r[2]) for r in rows], reference_match.SYNONYMS)
+    return reference_match.Matcher([(r[0], r[1], r[2]) for r in rows])
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs but the last of each feed's numbering are history, the last run arrives as a batch."""
     runs = table(spark, sf_dir, "feed_runs").filter("feed_kind = 'incremental'").select("feed_id").distinct()
-    rss = table(spark, sf_dir, "leadership_changes_rss").join(F.broadcast(runs), "feed_id")  # one row per feed
+    rss = table(spark, sf_dir, "leadership_changes_rss").join(short_list(runs), "feed_id")
     rows = rss.select(F.col("change_id").alias("id"), history.page_key(F.col("Link")).alias("page"), F.col("Title").alias("title"))
     matcher = reference_matcher(spark, sf_dir)
     read = stored(history.read_headlines(rows, matcher), "headlines")
@@ -101,7 +102,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Roles: wordings of the reference list are full; a cell per wording and trust.
     ref = table(spark, sf_dir, "role_reference").select(F.lower(F.trim("canonical_role")).alias("_role"), "role_ref_id")
-    titled = people.withColumn("_role", F.lower("role")).join(F.broadcast(ref), "_role", "left")
+    titled = people.withColumn("_role", F.lower("role")).join(short_list(ref), "_role", "left")
     complete_role = F.when((F.col("role") == "") | F.lower("role").isin(NO_NAMES), 0).when(F.col("role_ref_id").isNull(), 1).otherwise(2)
     held = survivors.cells(titled, "email_key", complete_role, trust, F.coalesce("role_ref_id", F.lit(-1)), seen, "rec_id", F.col("role"))
     held = held.select("email_key", survivors.ranked(F.col("cells")).alias("ranked"))
