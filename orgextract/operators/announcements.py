@@ -27,10 +27,10 @@ def with_entities(entries: DataFrame, key: str, tagger: Tagger = pattern_tagger)
     return entries.join(found, key, "left").withColumn("persons", F.coalesce("persons", none)).withColumn("organizations", F.coalesce("organizations", none))
 
 
-def rows(entries: DataFrame) -> DataFrame:
-    """Title, Link, Persons, Organizations; persons and organisations are arrays on input."""
+def rows(entries: DataFrame, *keys: str) -> DataFrame:
+    """keys, Title, Link, Persons, Organizations; persons and organisations are arrays on input."""
     return entries.select(
-        F.col("title").alias("Title"), F.col("link").alias("Link"), joined_or_na(F.col("persons")).alias("Persons"), joined_or_na(F.col("organizations")).alias("Organizations")
+        *keys, F.col("title").alias("Title"), F.col("link").alias("Link"), joined_or_na(F.col("persons")).alias("Persons"), joined_or_na(F.col("organizations")).alias("Organizations")
     )
 
 

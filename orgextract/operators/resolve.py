@@ -181,5 +181,5 @@ def within_budget(visits: DataFrame, host: str, ts: str, seconds: int) -> DataFr
     """
     first = visits.filter(F.col(host).isNotNull()).groupBy(host).agg(F.min(ts).alias("_first"), F.count("*").alias("_n"))
     x = join_counted(visits, first, host, "_n", "left")
-    elapsed = F.unix_micros(F.col(ts)) / 1e6 - F.unix_micros("_first") / 1e6
+    elapsed = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_first").cast("timestamp"))) / 1e6
     return x.withColumn("elapsed", F.round(elapsed, 3)).withColumn("ok", F.coalesce(F.col("elapsed") <= seconds, F.lit(True))).drop("_first")

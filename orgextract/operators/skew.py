@@ -41,17 +41,27 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: s
     return found.unionByName(rest.join(cold, key))
 
 
-def join_split(left: DataFrame, right: DataFrame, keys: list[str], total: int | None = None, share: int = HOT_SHARE, least: int = LEAST_HOT) -> DataFrame:
+#: The share of right's rows on which hot keys are told.
+SAMPLE = 16
+
+
+def join_split(left: DataFrame, right: DataFrame, keys: list[str], least: int = LEAST_HOT, sample: int = SAMPLE) -> DataFrame:
     """left joined with right on keys where both sides may hold many rows of one key (an inner join, many to many).
 
-    A key with more than 1/share of right's rows is cut into slices of about that size: its right
-    rows are dealt over the slices, its left rows meet every slice, so its pairs are formed in
-    many tasks. Such keys number fewer than `share`, so their list is broadcast. Null keys find
-    nothing. `right` is read twice: pass a stored table. `total` is right's row count, if known.
+    A key with more than `least` of right's rows is cut into slices of about that size: its right rows
+    are dealt over the slices, its left rows meet every slice, so its pairs are formed in many tasks.
+    All rows take part; only which keys are cut is told on a part of them, and of these the 2 * HOT_SHARE
+    most frequent (every key with a larger share than 1/HOT_SHARE is among them), so their list is of
+    bounded size. Where no key is hot the join is a plain one. Null keys find nothing.
     """
-    limit = max((right.count() if total is None else total) // share, least)
-    hot = right.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    hot = F.broadcast(hot.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")))
-    dealt = right.join(hot, keys, "left").withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(*right.columns), F.col("_slices")).cast("int"), F.lit(0)))
+    seen = right.filter(F.pmod(F.xxhash64(*right.columns), F.lit(sample)) == 0).groupBy(*keys).agg((F.count("*") * sample).alias("_n"))
+    top = seen.filter(F.col("_n") > least / 2).orderBy(F.desc("_n"), *keys).limit(2 * HOT_SHARE)
+    top = top.select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("_slices"))
+    rows = top.collect()
+    if not rows:
+        return left.join(right, keys)
+    hot = F.broadcast(right.sparkSession.createDataFrame(rows, top.schema))
+    deal = F.when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*right.columns), F.col("_slices"))).otherwise(0)
+    dealt = right.join(hot, keys, "left").withColumn("_slice", deal.cast("int"))
     spread = left.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
     return spread.drop("_slices").join(dealt.drop("_slices"), [*keys, "_slice"]).drop("_slice")

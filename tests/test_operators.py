@@ -83,9 +83,10 @@ def test_join_split_matches_plain_join(spark):
     left = spark.range(400).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 11 == 0, None).otherwise((F.col("id") % 20).cast("string")).alias("k"), F.col("id").alias("a"))
     right = left.select("k", F.col("a").alias("b"))
     want = sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
-    plan = join_split(left, right, ["k"], least=10, share=50)
+    plan = join_split(left, right, ["k"], least=10, sample=1)
     assert sorted(map(tuple, plan.select("k", "a", "b").collect())) == want
     assert join_split(left, right, ["k"]).count() == len(want)
+    assert join_split(left, right, ["k"], least=40, sample=4).count() == len(want)
     assert join_split(left, right.filter("false"), ["k"], least=10).count() == 0
 
 
