@@ -224,7 +224,7 @@ def persons(sightings: DataFrame) -> DataFrame:
     brief = open_.filter("short IS NOT NULL").join(shorts.select("org", "short", F.col("email").alias("_e")), ["org", "short"])
     brief = stored(brief.select("org", "spelling", "key", F.col("_e").alias("person")), "brief")
     rest = open_.filter("whole").join(brief.select("org", "spelling", "key"), ["org", "spelling", "key"], "left_anti").select("org", "spelling", "key", "short", "shorts")
-    rest_keys = rest.groupBy("org", "key").agg(F.count("*").alias("n"))
+    rest_keys = stored(rest.select("org", "key").distinct(), "rest")
     near = alike(rest_keys, by_key.filter("email = _m").select("org", "key"))
     best = near.join(by_key.select("org", F.col("key").alias("other"), "email"), ["org", "other"])
     best = best.groupBy("org", "key").agg(F.min(F.struct("dist", "email")).alias("_b")).select("org", "key", F.col("_b.email").alias("person"))
