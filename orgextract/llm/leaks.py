@@ -48,33 +48,44 @@ def words(text: Column) -> Column:
 
     Other punctuation parts words, so two sentences without a space between stay two words.
     """
-    t = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _BLOCK, " "), _INLINE, "")
+    t = F.coalesce(text, F.lit(""))
+    marked = F.contains(t, F.lit("<")) | F.contains(t, F.lit("[")) | F.contains(t, F.lit("&"))
+    t = F.when(marked, F.regexp_replace(F.regexp_replace(t, _BLOCK, " "), _INLINE, "")).otherwise(t)
     t = F.regexp_replace(F.lower(t), r"(?<=[\p{L}\p{M}\p{N}])['’‐‑-](?=[\p{L}\p{N}])", "")
     return F.filter(F.split(F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}]+", " "), " "), lambda w: w != "")
 
 
 def seeds(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """key, pos, seed: the hash of every run of n words."""
-    w = df.select(key, words(F.col(text)).alias("_w")).filter(F.size("_w") >= n)
+    """key, pos, seed: the hash of every run of n words, each word hashed once."""
+    w = df.select(key, F.transform(words(F.col(text)), lambda x: F.xxhash64(x)).alias("_w")).filter(F.size("_w") >= n)
     runs = F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.xxhash64(F.slice("_w", i, n)))
     return w.select(key, F.posexplode(runs).alias("pos", "seed"))
 
 
-def alignment(doc: np.ndarray, item: np.ndarray, diagonal: int, band: int) -> int:
-    """Smith-Waterman score of words (match 2, other word -1, gap -2) within `band` of a diagonal."""
-    lo, hi = max(0, diagonal - band), min(len(doc), diagonal + len(item) + band)
-    part = doc[lo:hi]
-    prev, best = np.zeros(len(part) + 1, dtype=np.int32), 0
+def alignment(doc: list[int], item: list[int], diagonal: int, band: int) -> int:
+    """Smith-Waterman score of words (match 2, other word -1, gap -2) within `band` of a diagonal.
+
+    A row holds the cells of one item word; a cell's place in it is its distance from the band's
+    lower edge, so the cell above to the left is the one of the same place in the row before.
+    """
+    n, width, best = len(doc), 2 * band + 1, 0
+    prev = [0] * (width + 1)
     for k, w in enumerate(item):
-        a, b = max(0, diagonal + k - band - lo), min(len(part), diagonal + k + band + 1 - lo)
-        cur = np.zeros(len(part) + 1, dtype=np.int32)
-        if a < b:
-            step = np.where(part[a:b] == w, 2, -1)
-            cell = np.maximum(np.maximum(prev[a:b] + step, prev[a + 1 : b + 1] - 2), 0)
-            along = 2 * np.arange(b - a)
-            cell = np.maximum.accumulate(cell + along) - along  # gaps within the row
-            cur[a + 1 : b + 1] = cell
-            best = max(best, int(cell.max()))
+        base, left = diagonal + k - band, 0
+        cur = [0] * (width + 1)
+        for c in range(max(0, -base), min(width, n - base)):
+            v = prev[c] + (2 if doc[base + c] == w else -1)
+            up = prev[c + 1] - 2
+            if up > v:
+                v = up
+            left -= 2
+            if left > v:
+                v = left
+            if v < 0:
+                v = 0
+            cur[c] = left = v
+            if v > best:
+                best = v
         prev = cur
     return best
 
@@ -157,7 +168,7 @@ def find_copies(
         for b in batches:
             rows = []
             for doc, item, diagonals, dw, iw in b.itertuples(index=False):
-                scored = [(alignment(dw, iw, middle, reach), on) for middle, reach, on in bands(diagonals)]
+                scored = [(alignment(dw.tolist(), iw.tolist(), middle, reach), on) for middle, reach, on in bands(diagonals)]
                 accepted = [g for points, on in scored if points >= least for g in on]
                 if accepted:
                     rows.append((doc, item, max(longest_window(dw, iw, g, slips) for g in accepted), max(scored)[0]))
