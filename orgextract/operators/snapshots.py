@@ -34,14 +34,19 @@ def snapshot_diff(rows: DataFrame, runs: DataFrame, stream: str, order: str, key
     """
     pairs = consecutive_runs(runs, stream, order).filter(F.col("_prev").isNotNull())
     slim = rows.filter(F.col(key).isNotNull()).select(
-        F.col(stream).alias("_s"), F.col(order).alias("_o"), F.col(key).alias("_k"), value.alias("_v")
-    ).distinct()
+        F.col(stream).alias("_s"), F.col(order).alias("_o"), F.col(key).alias("_k"), F.struct(value.alias("v")).alias("_v")
+    )  # in a struct, so that null equals null
     p = short_list(pairs.select(F.col(stream).alias("_ps"), F.col(order).alias("_run"), "_prev"))
     now = slim.join(p, (F.col("_s") == F.col("_ps")) & (F.col("_o") == F.col("_run"))).select("_s", "_run", "_k", "_v")
     before = slim.join(p, (F.col("_s") == F.col("_ps")) & (F.col("_o") == F.col("_prev"))).select("_s", "_run", "_k", "_v")
-    by_key = ["_s", "_run", "_k"]
-    gained = now.exceptAll(before).select(*by_key).distinct().withColumn("_gained", F.lit(True))
-    lost = before.exceptAll(now).select(*by_key).distinct().withColumn("_lost", F.lit(True))
+    by_key, whole = ["_s", "_run", "_k"], ["_s", "_run", "_k", "_v"]
+
+    def residue_of(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+        """Keys with rows of a beyond those of b; a further copy of a value that b holds is none."""
+        beyond = a.exceptAll(b).distinct().join(b, whole, "left_anti")
+        return beyond.select(*by_key).distinct().withColumn(name, F.lit(True))
+
+    gained, lost = residue_of(now, before, "_gained"), residue_of(before, now, "_lost")
     residue = gained.join(lost, by_key, "full")
     # A key with residue on one side only may still stand, unchanged in another row, on both sides.
     in_now = now.select(*by_key).distinct().withColumn("_in_now", F.lit(True))

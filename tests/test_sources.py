@@ -145,3 +145,23 @@ def test_rotating_log(tmp_path):
     log.info("seen")
     assert setup_logging(str(tmp_path), "orgextract-test") is log and len(log.handlers) == 2
     assert (tmp_path / "orgextract-test.log").read_text().strip() == "seen"
+
+
+def test_budget_per_host_as_a_stream(spark, tmp_path):
+    put = lambda n, rows: spark.createDataFrame(rows, "host string, url string, s int").selectExpr("host", "url", "timestamp_seconds(s) AS ts").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    schema = "host string, url string, ts timestamp"
+    put(1, [("h", "1", 1000), ("h", "2", 1200), ("g", "1", 1250), (None, "x", 1)])
+    out = []
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    q = monitor.watched(stream, 300).writeStream.foreachBatch(lambda df, i: out.extend(map(tuple, df.select("host", "url", "event").collect()))).option("checkpointLocation", f"{tmp_path}/cp").start()
+    try:
+        q.processAllAvailable()
+        put(2, [("h", "3", 1290), ("h", "4", 1301), ("k", "1", 2000)])
+        q.processAllAvailable()
+        put(3, [("k", "2", 2001)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    visits = {x for x in out if x[2] != "budget exceeded"}
+    assert visits == {("h", "1", "visit"), ("h", "2", "visit"), ("g", "1", "visit"), ("h", "3", "visit"), ("h", "4", "skipped"), ("k", "1", "visit"), ("k", "2", "visit")}
+    assert sorted(x[0] for x in out if x[2] == "budget exceeded") == ["g", "h"]
