@@ -19,6 +19,7 @@ from orgextract.functions import urls as u
 from orgextract.functions.entities import Tagger, entity_spans, pattern_tagger
 from orgextract.functions.html import ANCESTORS, html_anchors, html_elements
 from orgextract.operators.nearest import cap_per_key, nearest_span, neighbour_line
+from orgextract.session import stored
 
 KEYS = ["page_id", "source_url"]
 RANK = {"network": 0, "json-ld": 1, "html": 2, "cfemail": 3, "html-context": 4, "leadership-mailto": 5, "click-here": 5, "onclick": 5,
@@ -76,10 +77,10 @@ def near_addresses(texts: DataFrame, tag: str, anchors: DataFrame | None = None,
     return _out(x, tag, role=role, name=_credible(role, name, F.col("_e")), email=F.col("_e"), ord=F.col("_o")).withColumn("extractor_rank", F.lit(RANK.get(rank or tag, 9)))
 
 
-def context_people(pages: DataFrame) -> DataFrame:
+def context_people(pages: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
     """X3 over a page's source with addresses made readable."""
     readable = pages.select(*KEYS, e.deobfuscate(F.col("html"), "C").alias("html"))
-    return near_addresses(readable, "html-context", html_anchors(pages, KEYS, "html"))
+    return near_addresses(readable, "html-context", _links_of(pages, anchors))
 
 
 def look_behind_people(pages: DataFrame, behind: int = 160) -> DataFrame:
@@ -96,17 +97,22 @@ def jsonld_records(pages: DataFrame) -> DataFrame:
     return _out(x, "json-ld", role=F.col("role"), name=F.col("name"), email=F.col("email"), ord=F.col("_o"))
 
 
-def _mailtos(pages: DataFrame) -> DataFrame:
+def _links_of(pages: DataFrame, anchors: DataFrame | None) -> DataFrame:
+    """The pages' links; `anchors` are those already at hand, so that a page is parsed once for several extractors."""
+    return html_anchors(pages, KEYS, "html") if anchors is None else anchors
+
+
+def _mailtos(pages: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
     """Links to an address, with the address and the texts of the elements around."""
     href = F.col("attrs")["href"]
-    links = html_anchors(pages, KEYS, "html").filter(href.rlike("^mailto:"))
+    links = _links_of(pages, anchors).filter(href.rlike("^mailto:"))
     return links.select(*KEYS, "ord", "up", F.get("up", F.lit(0)).alias("parent"), e.strip_mailto(href).alias("email"))
 
 
-def mailto_people(pages: DataFrame, profile: str = "C", tag: str = "leadership-mailto") -> DataFrame:
+def mailto_people(pages: DataFrame, profile: str = "C", tag: str = "leadership-mailto", anchors: DataFrame | None = None) -> DataFrame:
     """X5, B and C: mailto links with role and name of the parent element's text. On profile C a text of
     fewer than ten characters gives way to the grandparent's longer one, except under the fallback tag."""
-    x = _mailtos(pages)
+    x = _mailtos(pages, anchors)
     ctx = F.coalesce("parent", F.lit(""))
     if profile == "C" and not tag.endswith("fallback"):
         grand = F.coalesce(F.get("up", F.lit(1)), F.lit(""))
@@ -116,9 +122,9 @@ def mailto_people(pages: DataFrame, profile: str = "C", tag: str = "leadership-m
     return _out(x, tag, role=role, name=t.first_name(F.col("_ctx"), profile), email=F.col("email"), ord=F.col("ord"))
 
 
-def mailto_context(pages: DataFrame) -> DataFrame:
+def mailto_context(pages: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
     """X5, A: the lines of three ancestors' texts decide role and name (JN4) and offer addresses beside the link's own."""
-    x = _mailtos(pages).withColumn("_link", F.concat_ws(":", "page_id", "ord"))
+    x = _mailtos(pages, anchors).withColumn("_link", F.concat_ws(":", "page_id", "ord"))
     x = x.withColumn("_lines", t.lines(F.array_join(F.slice("up", 1, ANCESTORS), "\n")))
     lines = x.select("_link", F.posexplode("_lines").alias("line_no", "_l"))
     lines = lines.select("_link", "line_no", F.regexp_extract("_l", p.ROLES_A, 1).alias("role"), t.first_name(F.col("_l"), "A").alias("name"))
@@ -129,11 +135,11 @@ def mailto_context(pages: DataFrame) -> DataFrame:
     return _out(x, "mailto-context", role=F.coalesce("role", F.lit("")), name=F.col("name"), email=best, ord=F.col("ord"))
 
 
-def click_here(pages: DataFrame, profile: str = "C") -> DataFrame:
+def click_here(pages: DataFrame, profile: str = "C", anchors: DataFrame | None = None) -> DataFrame:
     """Links that read "click here": a mailto link, else a protected one with its code inside, else one that
     carries the code itself; and, beside any, an address in the onclick script. Profile B adds role and name
     of the parent's text."""
-    x = html_anchors(pages, KEYS, "html").filter(F.contains(F.lower("text"), F.lit(p.CLICK_HERE)))
+    x = _links_of(pages, anchors).filter(F.contains(F.lower("text"), F.lit(p.CLICK_HERE)))
     href, onclick = F.coalesce(F.col("attrs")["href"], F.lit("")), F.coalesce(F.col("attrs")["onclick"], F.lit(""))
     mailto = F.contains(href, F.lit("mailto:"))
     protected = F.contains(href, F.lit(p.PROTECTED_LINK))
@@ -235,11 +241,16 @@ EXTRACTORS = {
 }
 
 
+#: Extractors that read the pages' links.
+ANCHORED = {"html-context", "leadership-mailto", "mailto-context", "click-here"}
+
+
 def extract(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """All registered extractors over the pages, in one union."""
-    out = None
-    for n in names or list(EXTRACTORS):
-        x = EXTRACTORS[n](pages)
+    """All registered extractors over the pages, in one union. Where several read the links, these are parsed once and stored."""
+    names, out = names or list(EXTRACTORS), None
+    shared = {"anchors": stored(html_anchors(pages, KEYS, "html"), "anchors")} if len(ANCHORED & set(names)) > 1 else {}
+    for n in names:
+        x = EXTRACTORS[n](pages, **(shared if n in ANCHORED else {}))
         out = x if out is None else out.unionByName(x)
     return out
 

@@ -220,11 +220,11 @@ def container_headings(spark: SparkSession, d: str) -> DataFrame:
     return c.join(ext.container_text(pages, "B").select("page_id", F.col("container").alias("b")), "page_id")
 
 
-@query(_expected(("leadership-text", "Loan Officer", "Bo Li", "bo{k}@mstfcu.org")))
+@query(_expected(("leadership-text", "Loan Officer", "Bo Li", "bo{k}@acme.org")))
 def structured_block_b(spark: SparkSession, d: str) -> DataFrame:
     """X7 (B): only around the heading, only the site's own domain."""
-    html = "<p>CEO Out Side out{k}@mstfcu.org</p><div><h2>Meet our staff</h2><p>Loan Officer: Bo Li - bo{k}@mstfcu.org</p><p>CEO Ann Leeds ann{k}@other.org</p></div>"
-    return ext.structured_people_b(_pages(spark, d, html), "mstfcu.org").select(*_FOUND)
+    html = "<p>CEO Out Side out{k}@acme.org</p><div><h2>Meet our staff</h2><p>Loan Officer: Bo Li - bo{k}@acme.org</p><p>CEO Ann Leeds ann{k}@other.org</p></div>"
+    return ext.structured_people_b(_pages(spark, d, html), "acme.org").select(*_FOUND)
 
 
 @query("""SELECT s_suppkey AS page_id, 'msfcu-strict' AS found_via, 'CEO' AS role, 'Ann Leeds' AS name, 'ann' || s_suppkey || '@cu.org' AS email FROM supplier WHERE s_suppkey % 2 = 0

@@ -107,13 +107,13 @@ def test_context_reads_the_parent_of_the_link_first(spark):
 
 
 def test_containers(spark):
-    html = "<html><body><div><h3>Leadership</h3><p>x</p></div><section><h2>Meet Our  Staff</h2>CEO Ann Leeds ann@mstfcu.org</section></body></html>"
+    html = "<html><body><div><h3>Leadership</h3><p>x</p></div><section><h2>Meet Our  Staff</h2>CEO Ann Leeds ann@acme.org</section></body></html>"
     df = spark.createDataFrame([(1, "u", html), (2, "u", "<p>no</p>"), (3, "u", None)], "page_id int, source_url string, html string")
     c = {r.page_id: (r.container or "").strip() for r in extract.container_text(df).collect()}
     assert c == {1: "Meet Our Staff", 2: "no", 3: ""}
     b = {r.page_id: r.container for r in extract.container_text(df, "B").collect()}
-    assert b == {1: "Meet Our Staff CEO Ann Leeds ann@mstfcu.org", 2: "", 3: ""}
-    assert [(r.role, r.name, r.email, r.found_via) for r in extract.structured_people_b(df, "mstfcu.org").collect()] == [("CEO", "Ann Leeds", "ann@mstfcu.org", "leadership-text")]
+    assert b == {1: "Meet Our Staff CEO Ann Leeds ann@acme.org", 2: "", 3: ""}
+    assert [(r.role, r.name, r.email, r.found_via) for r in extract.structured_people_b(df, "acme.org").collect()] == [("CEO", "Ann Leeds", "ann@acme.org", "leadership-text")]
 
 
 def test_reaches_of_the_fallback(spark):
