@@ -191,9 +191,11 @@ def query_segments(keys: DataFrame, k: int) -> DataFrame:
 
 def alike(asked: DataFrame, known: DataFrame, k: int = EDITS) -> DataFrame:
     """org, key, other, dist: keys of `known` (org, key) within k edits of each key asked, in the same organisation."""
-    q = query_segments(asked.select("org", "key"), k)
-    i = index_segments(known.select("org", F.col("key")), k).withColumnRenamed("key", "other")
-    pairs = join_split(q, i, ["org", "n", "i", "seg"]).filter("key <> other").select("org", "key", "other").distinct()
+    # organisation, length, place and segment travel as one number; what merely shares the number has another organisation or too many edits
+    at = F.xxhash64("org", "n", "i", "seg").alias("at")
+    q = query_segments(asked.select("org", "key"), k).select(at, "org", "key")
+    i = index_segments(known.select("org", "key"), k).select(at, F.col("org").alias("_o"), F.col("key").alias("other"))
+    pairs = join_split(q, i, ["at"]).filter("org = _o AND key <> other").select("org", "key", "other").distinct()
     pairs = pairs.withColumn("dist", F.levenshtein("key", "other", k)).filter("dist >= 0")
     return pairs.filter((F.col("dist") <= 1) | (F.length("key") >= LONG))
 
