@@ -125,9 +125,9 @@ def with_keys(df: DataFrame) -> DataFrame:
     nick = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in kv])
     parts = F.filter(F.split(_folded(F.coalesce("told", "spelling")), " "), lambda t: ~t.isin(ADDRESS))
     # `Katherine "Kathy" Genir`: a nickname beside its own full form is one part
-    long_parts = F.transform(F.filter("_t", lambda t: F.length(t) > 1), lambda t: F.coalesce(F.try_element_at(nick, t), t))
+    long_parts = F.transform(F.filter("_t", lambda t: F.length(t) > 1), lambda t: F.when(t.isin(list(NICKNAMES)), F.try_element_at(nick, t)).otherwise(t))
     x = df.withColumn("_t", parts).withColumn("_names", F.array_distinct(long_parts))
-    named = (F.size("_t") >= 2) & (F.size("_names") >= 1) & ~F.exists("_t", lambda t: t.isin(NO_NAME) | t.rlike(r"\p{N}"))
+    named = (F.size("_t") >= 2) & (F.size("_names") >= 1) & ~F.exists("_t", lambda t: t.isin(NO_NAME)) & ~F.coalesce("told", "spelling").rlike(r"\p{N}")
     lead, tail, n = F.get("_t", F.lit(0)), F.element_at("_t", -1), F.size("_names")
     head, family = F.get("_names", F.lit(0)), F.array_join(F.slice("_names", F.lit(2), F.size("_names")), "")
     short = (
@@ -160,44 +160,52 @@ EDITS = 2
 LONG = 8
 
 
-def _starts(n: Column, k: int) -> list[tuple[Column, Column]]:
-    """0-based start and length of the k+1 segments of a text of length n, as even as can be."""
-    seg = [F.floor(n * i / (k + 1)).cast("int") for i in range(k + 2)]
-    return [(seg[i], seg[i + 1] - seg[i]) for i in range(k + 1)]
+def _with_cuts(keys: DataFrame, k: int, longer: range) -> DataFrame:
+    """Adds _o (the organisation as a number) and the cuts as plain columns, so that no generator works them out again."""
+    n = F.length("key")
+    cuts = {f"_c{d - longer[0]}_{i}": F.floor((n + d) * i / (k + 1)).cast("int") for d in longer for i in range(k + 2)}
+    return keys.withColumns({"_o": F.xxhash64("org"), **cuts})
+
+
+def _at(n: Column, i: int, start: Column, size: Column) -> Column:
+    """Organisation, length, place and segment as one number."""
+    return F.xxhash64("_o", n, F.lit(i), F.substring("key", start + 1, size))
 
 
 def index_segments(keys: DataFrame, k: int) -> DataFrame:
-    """One row per segment of each key: the inverted index."""
-    n = F.length("key")
-    rows = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.substring("key", p + 1, size).alias("seg")) for i, (p, size) in enumerate(_starts(n, k))]
-    )
-    return keys.select("*", n.alias("n"), F.explode(rows).alias("_s")).select(*keys.columns, "n", "_s.i", "_s.seg")
+    """One row per segment of each key, at its number: the inverted index."""
+    cut = [F.col(f"_c0_{i}") for i in range(k + 2)]
+    rows = F.array(*[_at(cut[k + 1], i, cut[i], cut[i + 1] - cut[i]) for i in range(k + 1)])
+    return _with_cuts(keys, k, range(1)).select(*keys.columns, F.explode(rows).alias("at"))
 
 
 def query_segments(keys: DataFrame, k: int) -> DataFrame:
-    """The substrings of each key that can equal a segment of a key within k edits: for a length
-    difference d and segment i, shifts reachable from both the left and the right part."""
-    n, rows = F.length("key"), []
+    """The numbers of the substrings of each key that can equal a segment of a key within k edits: for a length
+    difference d and segment i, shifts reachable from both the left and the right part.
+
+    Places outside the key are nulls that leave after the generator: a lambda in it would have all of it interpreted.
+    """
+    rows, n = [], F.col(f"_c{k}_{k + 1}")
     for d in range(-k, k + 1):
-        for i, (p, size) in enumerate(_starts(n + d, k)):
+        cut = [F.col(f"_c{d + k}_{i}") for i in range(k + 2)]
+        for i in range(k + 1):
             lo, hi = max(-i, -d - (k - i)), min(i, -d + (k - i))
             for shift in range(lo, hi + 1):
-                seg = F.substring("key", p + 1 + shift, size)
-                ok = (p + shift >= 0) & (p + shift + size <= n)
-                rows.append(F.when(ok, F.struct((n + d).alias("n"), F.lit(i).alias("i"), seg.alias("seg"))))
-    return keys.select("*", F.explode(F.array_compact(F.array(*rows))).alias("_s")).select(*keys.columns, "_s.n", "_s.i", "_s.seg")
+                inside = (cut[i] + shift >= 0) & (cut[i + 1] + shift <= n)
+                rows.append(F.when(inside, _at(cut[k + 1], i, cut[i] + shift, cut[i + 1] - cut[i])))
+    x = _with_cuts(keys, k, range(-k, k + 1)).select(*keys.columns, F.explode(F.array(*rows)).alias("at"))
+    return x.filter("at IS NOT NULL")
 
 
 def alike(asked: DataFrame, known: DataFrame, k: int = EDITS) -> DataFrame:
-    """org, key, other, dist: keys of `known` (org, key) within k edits of each key asked, in the same organisation."""
-    # organisation, length, place and segment travel as one number; what merely shares the number has another organisation or too many edits
-    at = F.xxhash64("org", "n", "i", "seg").alias("at")
-    q = query_segments(asked.select("org", "key"), k).select(at, "org", "key")
-    i = index_segments(known.select("org", "key"), k).select(at, F.col("org").alias("_o"), F.col("key").alias("other"))
-    pairs = join_split(q, i, ["at"]).filter("org = _o AND key <> other").select("org", "key", "other").distinct()
-    pairs = pairs.withColumn("dist", F.levenshtein("key", "other", k)).filter("dist >= 0")
-    return pairs.filter((F.col("dist") <= 1) | (F.length("key") >= LONG))
+    """org, key, other, dist and what else `known` has: its keys (org, key) within k edits of each key asked, in the same organisation."""
+    # what merely shares the number of a segment has another organisation or too many edits; it leaves where it is met
+    more = [c for c in known.columns if c not in ("org", "key")]
+    q = query_segments(asked.select("org", "key"), k)
+    i = index_segments(known.select("org", "key", *more), k).withColumnsRenamed({"org": "_org", "key": "other"})
+    pairs = join_split(q, i, ["at"]).filter("org = _org AND key <> other")
+    pairs = pairs.withColumn("dist", F.levenshtein("key", "other", k)).filter((F.col("dist") >= 0) & ((F.col("dist") <= 1) | (F.length("key") >= LONG)))
+    return pairs.select("org", "key", "other", "dist", *more).distinct()
 
 
 def persons(sightings: DataFrame) -> DataFrame:
@@ -227,9 +235,10 @@ def persons(sightings: DataFrame) -> DataFrame:
     brief = stored(brief.select("org", "spelling", "key", F.col("_e").alias("person")), "brief")
     rest = open_.filter("whole").join(brief.select("org", "spelling", "key"), ["org", "spelling", "key"], "left_anti").select("org", "spelling", "key", "short", "shorts")
     rest_keys = stored(rest.select("org", "key").distinct(), "rest")
-    near = alike(rest_keys, by_key.filter("email = _m").select("org", "key"))
-    best = near.join(by_key.select("org", F.col("key").alias("other"), "email"), ["org", "other"])
-    best = best.groupBy("org", "key").agg(F.min(F.struct("dist", "email")).alias("_b")).select("org", "key", F.col("_b.email").alias("person"))
+    # one join finds the addressed and the open keys alike: an open key's segments travel once
+    known_keys = by_key.filter("email = _m").select("org", "key", "email").unionByName(rest_keys.withColumn("email", F.lit(None).cast("string")))
+    found = stored(alike(rest_keys, known_keys), "alike")
+    best = found.filter("email IS NOT NULL").groupBy("org", "key").agg(F.min(F.struct("dist", "email")).alias("_b")).select("org", "key", F.col("_b.email").alias("person"))
     tied = stored(rest.join(best, ["org", "key"], "left"), "tied")
     fuzzy = tied.filter("person IS NOT NULL").select("spelling", "person")
 
@@ -238,7 +247,7 @@ def persons(sightings: DataFrame) -> DataFrame:
     counts = alone.select("org", "key").distinct()
     tied_keys = best.select("org", F.col("key").alias("other"), F.col("person").alias("tied"))
     node = lambda c: F.concat("org", F.lit("/"), c)
-    among = alike(counts, rest_keys).join(tied_keys, ["org", "other"], "left")
+    among = found.filter("email IS NULL").select("org", "key", "other").join(counts, ["org", "key"], "left_semi").join(tied_keys, ["org", "other"], "left")
     among = stored(among.select(node("key").alias("node"), node("other").alias("other"), "tied"), "links")
     groups = components(among.filter("tied IS NULL"), "node", "other")
     groups = counts.select("org", "key", node("key").alias("node")).join(groups, "node", "left").withColumn("head", F.coalesce("label", "node"))

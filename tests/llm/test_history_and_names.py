@@ -189,3 +189,23 @@ def test_links_carry_on(spark):
     df = spark.createDataFrame(rows, "spelling string, org string, email string")
     got = {tuple(x) for x in names.spelling_pairs(names.persons(df)).collect()}
     assert got == {*itertools.combinations(chain, 2), *itertools.combinations(slips, 2)}
+
+
+def test_segments_of_short_keys_travel_as_numbers(spark):
+    keys = ["a", "b", "ab", "ba", "abc", "abd", "abcd", "éabc", "𐐀bcd", "abcdefgh", "abcdefxx"]
+    df = spark.createDataFrame([(o, k) for o in ("o", "p") for k in keys], "org string, key string")
+    got = sorted((x.org, x.key, x.other, x.mark) for x in names.alike(df, df.withColumn("mark", F.upper("org"))).collect())
+    want = [(o, a, b, o.upper()) for o in ("o", "p") for a, b in itertools.permutations(keys, 2) if levenshtein(a, b) <= (2 if len(a) >= 8 else 1)]
+    assert got == sorted(want)
+    # a lambda under the generator would have the whole of it interpreted, row by row
+    for cut in (names.query_segments(df, 2), names.index_segments(df, 2)):
+        assert "lambda" not in cut._jdf.queryExecution().executedPlan().toString() and cut.columns == ["org", "key", "at"]
+
+
+def test_open_keys_are_joined_once(spark, monkeypatch):
+    calls, alike = [], names.alike
+    monkeypatch.setattr(names, "alike", lambda *a, **k: calls.append(a) or alike(*a, **k))
+    rows = [("dora kalinski", "redoak", "dora@x.org"), ("dora kalinzzi", "redoak", None), ("yul briner", "redoak", None), ("yul brinner", "redoak", None), ("b2 lomax", "redoak", None), ("b2 lomaxx", "redoak", None)]
+    df = spark.createDataFrame(rows, "spelling string, org string, email string")
+    got = {tuple(x) for x in names.spelling_pairs(names.persons(df)).collect()}
+    assert got == {("dora kalinski", "dora kalinzzi"), ("yul briner", "yul brinner")} and len(calls) == 1
